@@ -1,0 +1,136 @@
+"""Replay of a JSON-lines commit log: which files are live, and the table's size per version.
+
+A log is a folder of ``<20-digit version>.json`` files; each line holds one action:
+``commitInfo``, ``metaData``, ``protocol``, ``add`` or ``remove``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+# The fields read from the log's lines.
+ACTION_SCHEMA = """
+    commitInfo struct<timestamp: bigint, operation: string, operationParameters: map<string, string>,
+                      operationMetrics: map<string, string>, readVersion: bigint>,
+    metaData struct<id: string, schemaString: string, partitionColumns: array<string>, createdTime: bigint>,
+    protocol struct<minReaderVersion: int, minWriterVersion: int>,
+    add struct<path: string, partitionValues: map<string, string>, size: bigint, modificationTime: bigint,
+               stats: string>,
+    remove struct<path: string, deletionTimestamp: bigint, partitionValues: map<string, string>, size: bigint>
+"""
+STATS_SCHEMA = """
+    numRecords bigint, minValues map<string, string>, maxValues map<string, string>,
+    nullCount map<string, bigint>
+"""
+
+
+def read_commit_log(spark: SparkSession, folder: str) -> DataFrame:
+    """All actions of a log folder with the version from the file name."""
+    lines = (
+        spark.read.option("pathGlobFilter", "*.json")
+        .text(folder)
+        .select(
+            F.regexp_extract("_metadata.file_name", r"(\d{20})\.json$", 1).try_cast("bigint").alias("version"),
+            "value",
+        )
+    )
+    return parse_actions(lines.where("version IS NOT NULL"))
+
+
+def parse_actions(lines: DataFrame) -> DataFrame:
+    """(version, value) text lines as typed action columns."""
+    return lines.select("version", F.from_json("value", ACTION_SCHEMA).alias("a")).select("version", "a.*")
+
+
+def commit_history(actions: DataFrame) -> DataFrame:
+    """The log's commits in the shape of a table history, newest first."""
+    return (
+        actions.where("commitInfo IS NOT NULL")
+        .select(
+            "version",
+            F.timestamp_millis("commitInfo.timestamp").alias("timestamp"),
+            F.col("commitInfo.operation").alias("operation"),
+            F.col("commitInfo.operationParameters").alias("operation_parameters"),
+            F.col("commitInfo.operationMetrics").alias("operation_metrics"),
+        )
+        .orderBy(F.desc("version"))
+    )
+
+
+def _file_actions(actions: DataFrame) -> DataFrame:
+    """One row per add or remove with its file, size and row count."""
+    added = F.col("add").isNotNull()
+    stats = F.from_json("add.stats", STATS_SCHEMA)
+    return actions.where("add IS NOT NULL OR remove IS NOT NULL").select(
+        "version",
+        added.alias("is_add"),
+        F.when(added, F.col("add.path")).otherwise(F.col("remove.path")).alias("path"),
+        F.col("add.partitionValues").alias("partition_values"),
+        F.col("add.size").alias("size_bytes"),
+        stats.alias("stats"),
+    )
+
+
+def live_files(actions: DataFrame) -> DataFrame:
+    """Files of the newest version: those whose last action is an add.
+
+    One aggregate per path instead of an anti join of adds and removes, so the
+    log is shuffled once and a file added again after its removal counts.
+    """
+    last = F.max_by(
+        F.struct("is_add", "version", "partition_values", "size_bytes", "stats"),
+        F.struct("version", "is_add"),
+    )
+    return (
+        _file_actions(actions)
+        .groupBy("path")
+        .agg(last.alias("last"))
+        .where("last.is_add")
+        .select("path", "last.version", "last.partition_values", "last.size_bytes", "last.stats")
+    )
+
+
+def file_stats(files: DataFrame) -> DataFrame:
+    """Row count, minima, maxima and NULL counts per live file."""
+    return files.select(
+        "path",
+        F.col("stats.numRecords").alias("num_records"),
+        F.col("stats.minValues").alias("min_values"),
+        F.col("stats.maxValues").alias("max_values"),
+        F.col("stats.nullCount").alias("null_count"),
+    )
+
+
+def replay(actions: DataFrame) -> DataFrame:
+    """Files, rows and bytes added, removed and live after each version.
+
+    Each action changes the table by its file's new size minus the file's size
+    before, so a remove needs no row count of its own. The running sum goes over
+    one row per version.
+    """
+    earlier = Window.partitionBy("path").orderBy("version", "is_add")
+    size = {
+        "files": F.col("is_add").cast("bigint"),
+        "rows": F.when(F.col("is_add"), F.coalesce("stats.numRecords", F.lit(0))).otherwise(0).cast("bigint"),
+        "bytes": F.when(F.col("is_add"), F.coalesce("size_bytes", F.lit(0))).otherwise(0).cast("bigint"),
+    }
+    after = _file_actions(actions).select("version", "is_add", "path", *[c.alias(n) for n, c in size.items()])
+    change = after.select(
+        "version", *[(F.col(n) - F.coalesce(F.lag(n).over(earlier), F.lit(0))).alias(n) for n in size]
+    )
+    per_version = change.groupBy("version").agg(
+        *[F.sum(F.greatest(F.col(n), F.lit(0))).alias(f"added_{n}") for n in size],
+        *[F.sum(F.greatest(-F.col(n), F.lit(0))).alias(f"removed_{n}") for n in size],
+    )
+    # Commits without file actions still are versions of the table.
+    versions = actions.select("version").distinct()
+    zeros = [F.lit(0).cast("bigint").alias(c) for c in per_version.columns if c != "version"]
+    complete = (
+        per_version.unionByName(versions.select("version", *zeros))
+        .groupBy("version")
+        .agg(*[F.sum(c).alias(c) for c in per_version.columns if c != "version"])
+    )
+    running = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    live = [F.sum(F.col(f"added_{n}") - F.col(f"removed_{n}")).over(running).alias(f"live_{n}") for n in size]
+    return complete.select("*", *live)
