@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.functions.text import failure_message, metric_number, thousands, timestamp_text, two_decimals
-from oreworks.sources.rowlog import append_rows, read_rows
+from oreworks.sources.rowlog import append_rows, one_row, read_rows
 
 INCIDENT_SCHEMA = T.StructType(
     [
@@ -43,8 +43,15 @@ def log_incident(
     record_id: str | None = None,
 ) -> None:
     """Append one incident; the session stays the caller's."""
-    row = (dag_id, run_id, task_id, message, status, at or datetime.now(timezone.utc))
-    append_rows(spark.createDataFrame([row], INCIDENT_SCHEMA).coalesce(1), path, record_id)
+    row = {
+        "dag_id": dag_id,
+        "run_id": run_id,
+        "task_id": task_id,
+        "message": message,
+        "status": status,
+        "timestamp": at or datetime.now(timezone.utc),
+    }
+    append_rows(one_row(spark, INCIDENT_SCHEMA, row), path, record_id)
 
 
 def failure_incidents(failures: DataFrame, status: str = "ERROR") -> DataFrame:
@@ -67,8 +74,8 @@ def record_run(
     spark: SparkSession, path: str, epoch_s: float, duration_s: float, record_id: str | None = None
 ) -> None:
     """Append the duration of one finished run, to two decimals."""
-    row = (float(epoch_s), round(float(duration_s), 2))
-    append_rows(spark.createDataFrame([row], RUN_SCHEMA).coalesce(1), path, record_id)
+    row = {"epoch_s": float(epoch_s), "duration_s": round(float(duration_s), 2)}
+    append_rows(one_row(spark, RUN_SCHEMA, row), path, record_id)
 
 
 def run_kpis(runs: DataFrame | None, silver: DataFrame | None, spark: SparkSession) -> DataFrame:

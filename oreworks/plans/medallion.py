@@ -15,7 +15,7 @@ from oreworks.operators.marts import gold_by_date
 from oreworks.operators.monitor import log_incident, record_run
 from oreworks.operators.quality import gate, metric_names, metrics_schema, quality_metrics
 from oreworks.sources.files import read_drop, stamp
-from oreworks.sources.rowlog import append_rows
+from oreworks.sources.rowlog import append_rows, one_row
 from oreworks.sources.versioned import Commit, VersionedTable
 from oreworks.spec import Layout, TableSpec
 
@@ -73,9 +73,8 @@ def check_quality(
     row = gate(quality_metrics(bronze, spec, at=at), spec).first()
     metrics = {name: row[name] for name in metric_names(spec)}
     if metrics["total_rows"]:
-        schema = metrics_schema(spec)
-        values = [(*metrics.values(), at or datetime.now(timezone.utc))]
-        append_rows(spark.createDataFrame(values, schema).coalesce(1), layout.dq_metrics, record_id)
+        record = {**metrics, "validation_time": at or datetime.now(timezone.utc)}
+        append_rows(one_row(spark, metrics_schema(spec), record), layout.dq_metrics, record_id)
     return row["passed"], metrics
 
 
@@ -127,7 +126,7 @@ def run_medallion(
 
         # Bronze time is one constant of the batch, so it is fixed before the write.
         written = tables["bronze"].overwrite(bronze_rows(raw, spec, clock), **how)
-        bronze = tables["bronze"].read(version=written.version)
+        bronze = tables["bronze"].read_commit(written)
         bronze_count = written.metric("numOutputRows")
 
         passed, metrics = check_quality(spark, bronze, spec, layout, clock, batch_id)
@@ -138,7 +137,7 @@ def run_medallion(
             return RunResult(run_id, HALTED, bronze_count, metrics=metrics)
 
         silver = write_layer(tables["silver"], silver_rows(bronze, spec), silver_mode, **how)
-        current = tables["silver"].read(version=silver.version)
+        current = tables["silver"].read_commit(silver)
         gold_mode = "overwrite"
         if silver_mode != "overwrite":
             # Every row of the batch carries the batch's clock, hence one date.

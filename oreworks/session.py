@@ -39,3 +39,14 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="oreworks-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 * 1024 * 1024) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` so that one shuffle partition holds about ``target_bytes``.
+
+    AQE merges partitions that turn out small but never adds any, so the number
+    has to fit the input: the default would mean half a terabyte per task at 100 TB.
+    """
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted

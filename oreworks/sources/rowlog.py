@@ -4,15 +4,25 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Mapping
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from oreworks.sources.files import if_present
 
 _RECORD = "record_id"
 
 
+def one_row(spark: SparkSession, schema: T.StructType, row: Mapping[str, Any]) -> DataFrame:
+    """A single literal row under an explicit schema; Arrow input needs no Python task."""
+    cells = {k: list(v.items()) if isinstance(v, Mapping) else v for k, v in row.items()}
+    return spark.createDataFrame(pa.Table.from_pylist([cells], schema=to_arrow_schema(schema)), schema)
+
+
 def append_rows(df: DataFrame, path: str, record_id: str | None = None) -> None:
     """Append the rows of ``df`` as one record.
 

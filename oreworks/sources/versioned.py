@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.sources.files import if_present
+from oreworks.sources.listing import list_files
+from oreworks.sources.rowlog import one_row
 
 _VERSION = "commit_version"
 
@@ -127,7 +129,11 @@ class VersionedTable:
     def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame | None:
         """The table now, at ``version``, or as of a time; None when there is no such state."""
         commit = self.commit_at(version, as_of)
-        return None if commit is None else self._scan(commit).drop(_VERSION)
+        return None if commit is None else self.read_commit(commit)
+
+    def read_commit(self, commit: Commit) -> DataFrame:
+        """The table as a commit in hand left it."""
+        return self._scan(commit).drop(_VERSION)
 
     def _directories(self, commit: Commit) -> list[str]:
         return [
@@ -158,13 +164,7 @@ class VersionedTable:
         return self._live(files, commit)
 
     def _files(self, directories: list[str], schema: T.StructType, partition_by: Sequence[str]) -> DataFrame:
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", True)
-            .option("pathGlobFilter", "*.parquet")
-            .load(directories)
-        )
-        return files.select(
+        return list_files(self.spark, *directories, pattern="*.parquet").select(
             "path",
             "length",
             _path_value(_VERSION, T.LongType()).alias(_VERSION),
@@ -183,8 +183,6 @@ class VersionedTable:
 
     def replace_partitions(self, df: DataFrame, **how) -> Commit:
         """Replace the partitions that occur in ``df`` and keep all others."""
-        if not self.partition_by:
-            raise ValueError("replace_partitions needs a partitioned table")
         return self._write(df, "ReplacePartitions", **how)
 
     def _write(
@@ -207,23 +205,28 @@ class VersionedTable:
         if done:
             return done
         last = self.commit_at()
+        by = self._partitioning(last)
+        if mode == "ReplacePartitions" and not by:
+            raise ValueError("replace_partitions needs a partitioned table")
         version = last.version + 1 if last else 0
         schema = merge_schemas(last.schema if last else None, df.schema)
+        if rebalance:
+            df = df.hint("rebalance", *by)
         counted, counts = _observe(df, rows=F.count(F.lit(1)))
-        self._save(counted, version, rebalance)
+        self._save(counted, version, by)
 
         base, floor = version, {}
         if last and mode != "Overwrite":
             base, floor = last.base_version, dict(last.partition_floor)
         if last and mode == "ReplacePartitions":
-            floor.update(dict.fromkeys(self._keys_of_version(version, schema), version))
-        files, size = self._written(version, schema)
+            floor.update(dict.fromkeys(self._keys_of_version(version, schema, by), version))
+        files, size = self._written(version, schema, by)
         return self._commit(
             version=version,
             base_version=base,
             timestamp=timestamp,
             operation="WRITE",
-            operation_parameters={"mode": mode, "partitionBy": ",".join(self.partition_by)},
+            operation_parameters={"mode": mode, "partitionBy": ",".join(by)},
             operation_metrics={
                 "numOutputRows": counts.get["rows"],
                 "numFiles": files,
@@ -232,6 +235,7 @@ class VersionedTable:
             batch_id=batch_id,
             schema=schema,
             floor=floor,
+            partition_by=by,
         )
 
     def update(
@@ -246,29 +250,23 @@ class VersionedTable:
 
         Returns None, and writes nothing, when no row matches.
         """
-        if set(assignments) & set(self.partition_by):
-            raise ValueError("a partition column cannot be assigned")
         hit = _matches(condition)
-        old = self.read()
-        if old is None:
-            raise ValueError(f"no table at {self.path}")
-        kinds = {f.name: f.dataType for f in old.schema.fields}
-        unknown = set(assignments) - set(kinds)
-        if unknown:
-            raise ValueError(f"no such columns: {sorted(unknown)}")
 
         def rewrite(df: DataFrame) -> DataFrame:
+            unknown = set(assignments) - set(df.columns)
+            if unknown:
+                raise ValueError(f"no such columns: {sorted(unknown)}")
             # One select, so every right-hand side and the condition see the old values.
             return df.select(
                 *[
-                    F.when(hit, F.expr(assignments[c]).cast(kinds[c])).otherwise(F.col(c)).alias(c)
-                    if c in assignments
-                    else F.col(c)
-                    for c in df.columns
+                    F.when(hit, F.expr(assignments[f.name]).cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
+                    if f.name in assignments
+                    else F.col(f.name)
+                    for f in df.schema.fields
                 ]
             )
 
-        return self._mutate("UPDATE", condition, hit, rewrite, batch_id, timestamp)
+        return self._mutate("UPDATE", condition, hit, rewrite, batch_id, timestamp, assignments)
 
     def delete(
         self, condition: str, *, batch_id: str | None = None, timestamp: datetime | None = None
@@ -277,21 +275,26 @@ class VersionedTable:
         hit = _matches(condition)
         return self._mutate("DELETE", condition, hit, lambda df: df.where(~hit), batch_id, timestamp)
 
-    def _mutate(self, operation, condition, hit: Column, rewrite, batch_id, timestamp) -> Commit | None:
+    def _mutate(
+        self, operation, condition, hit: Column, rewrite, batch_id, timestamp, assigned=()
+    ) -> Commit | None:
         done = self._committed(batch_id)
         if done:
             return done
         last = self.commit_at()
         if last is None:
             raise ValueError(f"no table at {self.path}")
+        by = self._partitioning(last)
+        if set(assigned) & set(by):
+            raise ValueError("a partition column cannot be assigned")
         table = self._scan(last)
         touched = None
-        if last.partition_by:
+        if by:
             # Rewrite only partitions that hold a match. The keys collected here are
             # directory names, at most MAX_PARTITION_REWRITES + 1 of them.
             keys = (
                 table.where(hit)
-                .select(_partition_key(last.partition_by).alias("key"))
+                .select(_partition_key(by).alias("key"))
                 .distinct()
                 .limit(MAX_PARTITION_REWRITES + 1)
                 .collect()
@@ -304,15 +307,15 @@ class VersionedTable:
             return None
 
         def within(df: DataFrame) -> DataFrame:
-            return df if touched is None else df.where(_partition_key(last.partition_by).isin(touched))
+            return df if touched is None else df.where(_partition_key(by).isin(touched))
 
         version = last.version + 1
         counted, counts = _observe(
             within(table).drop(_VERSION), hit=F.count_if(hit), kept=F.count_if(~hit)
         )
-        self._save(rewrite(counted), version, partition_by=last.partition_by)
+        self._save(rewrite(counted), version, by)
         removed = _files_and_bytes(within(self.live_files(last)))
-        files, size = self._written(version, last.schema)
+        files, size = self._written(version, last.schema, by)
         return self._commit(
             version=version,
             base_version=version if touched is None else last.base_version,
@@ -330,7 +333,7 @@ class VersionedTable:
             batch_id=batch_id,
             schema=last.schema,
             floor={} if touched is None else {**last.partition_floor, **dict.fromkeys(touched, version)},
-            partition_by=last.partition_by,
+            partition_by=by,
         )
 
     # -- helpers -----------------------------------------------------------------
@@ -342,44 +345,47 @@ class VersionedTable:
         row = commits.where(F.col("batch_id") == batch_id).limit(1).collect()
         return Commit(**row[0].asDict()) if row else None
 
-    def _save(self, df: DataFrame, version: int, rebalance: bool = False, partition_by=None) -> None:
-        by = self.partition_by if partition_by is None else partition_by
-        if rebalance:
-            df = df.hint("rebalance", *by) if by else df.hint("rebalance")
+    def _partitioning(self, last: Commit | None) -> tuple[str, ...]:
+        """The table's own partition columns; the caller's for a new table."""
+        if last is None:
+            return self.partition_by
+        if self.partition_by and tuple(last.partition_by) != self.partition_by:
+            raise ValueError(f"table is partitioned by {last.partition_by}, not {list(self.partition_by)}")
+        return tuple(last.partition_by)
+
+    def _save(self, df: DataFrame, version: int, by: Sequence[str]) -> None:
         # Overwrite: the directory can only hold the rest of a write that never committed.
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if by:
             writer = writer.partitionBy(*by)
         writer.parquet(f"{self.path}/data/{_VERSION}={version}")
 
-    def _version_files(self, version: int, schema: T.StructType) -> DataFrame:
-        return self._files([f"{self.path}/data/{_VERSION}={version}"], schema, self.partition_by)
+    def _version_files(self, version: int, schema: T.StructType, by: Sequence[str]) -> DataFrame:
+        return self._files([f"{self.path}/data/{_VERSION}={version}"], schema, by)
 
-    def _written(self, version: int, schema: T.StructType) -> tuple[int, int]:
-        row = _files_and_bytes(self._version_files(version, schema))
+    def _written(self, version: int, schema: T.StructType, by: Sequence[str]) -> tuple[int, int]:
+        row = _files_and_bytes(self._version_files(version, schema, by))
         return row["files"], row["bytes"]
 
-    def _keys_of_version(self, version: int, schema: T.StructType) -> list[str]:
+    def _keys_of_version(self, version: int, schema: T.StructType, by: Sequence[str]) -> list[str]:
         """Partition keys of a written version, from its file paths."""
-        keys = self._version_files(version, schema).select(_partition_key(self.partition_by).alias("key"))
+        keys = self._version_files(version, schema, by).select(_partition_key(by).alias("key"))
         rows = keys.distinct().limit(MAX_PARTITION_REWRITES + 1).collect()
         if len(rows) > MAX_PARTITION_REWRITES:
             raise ValueError(f"more than {MAX_PARTITION_REWRITES} partitions in one replace; use overwrite")
         return [r.key for r in rows]
 
-    def _commit(self, *, schema: T.StructType, floor, timestamp, operation_metrics, partition_by=None, **fields):
+    def _commit(self, *, schema: T.StructType, floor, timestamp, operation_metrics, partition_by, **fields) -> Commit:
         commit = Commit(
             timestamp=timestamp or datetime.now(timezone.utc),
             operation_metrics={k: str(v) for k, v in operation_metrics.items()},
             table_schema=schema.json(),
-            partition_by=list(self.partition_by if partition_by is None else partition_by),
+            partition_by=list(partition_by),
             partition_floor=floor,
             **fields,
         )
-        row = tuple(getattr(commit, name) for name in COMMIT_SCHEMA.names)
-        self.spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits"
-        )
+        row = {name: getattr(commit, name) for name in COMMIT_SCHEMA.names}
+        one_row(self.spark, COMMIT_SCHEMA, row).write.mode("append").parquet(f"{self.path}/commits")
         return commit
 
 
@@ -409,8 +415,9 @@ def _files_and_bytes(files: DataFrame) -> Row:
 def _observe(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     """Count rows inside the write job itself.
 
-    The counters sit in the write's last stage, where Spark merges each task's
-    numbers once even if an executor is lost and the task runs again.
+    ``df`` must reach the write without a shuffle in between: the counters then
+    sit in the job's last stage, where Spark merges each task's numbers once even
+    if an executor is lost and the task runs again.
     """
     seen = Observation()
     return df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), seen

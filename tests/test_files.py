@@ -1,0 +1,89 @@
+from __future__ import annotations
+
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from oreworks.sources import files
+from oreworks.spec import PEOPLE
+
+from .conftest import CSV_ROWS, JSON_ROWS
+
+
+def _csv(spark, layout, **how):
+    return [tuple(r) for r in files.read_csv(spark, f"{layout.input}/*.csv", PEOPLE.schema, **how).collect()]
+
+
+@pytest.mark.parametrize(
+    ("line", "row"),
+    [
+        ("abc,Ann,3", (None, "Ann", 3)),
+        ("1,Ann, 33 ", (1, "Ann", None)),
+        ("1,Ann", (1, "Ann", None)),
+        ("1,Ann,3,extra", (1, "Ann", 3)),
+        ("1,,", (1, None, None)),
+        ('1,"",3', (1, None, 3)),
+        ('1,"A, nn",3', (1, "A, nn", 3)),
+    ],
+)
+def test_csv_cells(spark, layout, drop, line, row):
+    drop("a.csv", f"id,name,age\n{line}\n")
+    assert _csv(spark, layout) == [row]
+
+
+def test_csv_blank_line_is_skipped(spark, layout, drop):
+    drop("a.csv", "id,name,age\n1,Ann,3\n\n2,Ben,4\n")
+    assert len(_csv(spark, layout)) == 2
+
+
+def test_csv_header_in_other_order_fails(spark, layout, drop):
+    drop("a.csv", "name,id,age\nAnn,1,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        _csv(spark, layout)
+    assert _csv(spark, layout, check_header=False) == [(None, "1", 3)]
+
+
+@pytest.mark.parametrize(
+    ("line", "row"),
+    [
+        ("{not json", (None, None, None)),
+        ('{"id": "2005", "name": "Ann", "age": 3.5}', (None, "Ann", None)),
+        ('{"id": 1, "name": 77, "age": 3}', (1, "77", 3)),
+        ('{"id": 1}', (1, None, None)),
+        ('{"id": 1, "other": true, "age": 2}', (1, None, 2)),
+    ],
+)
+def test_json_lines(spark, layout, drop, line, row):
+    drop("a.json", line + "\n")
+    assert [tuple(r) for r in files.read_json(spark, f"{layout.input}/*.json", PEOPLE.schema).collect()] == [row]
+
+
+def test_sources_are_optional(spark, layout, drop):
+    assert files.read_drop(spark, layout.input, PEOPLE.schema) is None
+    drop("b.json", JSON_ROWS)
+    assert files.read_drop(spark, layout.input, PEOPLE.schema).count() == 4
+    drop("a.csv", CSV_ROWS)
+    both = files.read_drop(spark, layout.input, PEOPLE.schema)
+    assert both.count() == 10
+    kinds = both.groupBy(F.regexp_extract("source_file", r"/([^/]*)$", 1).alias("file")).count()
+    assert {r["file"]: r["count"] for r in kinds.collect()} == {"a.csv": 6, "b.json": 4}
+
+
+def test_other_read_errors_are_raised(spark):
+    def fails():
+        return spark.read.format("no_such_format").load("/nowhere")
+
+    with pytest.raises(Exception) as error:
+        files.if_present(fails)
+    assert "PATH_NOT_FOUND" not in str(error.value)
+    with pytest.raises(AnalysisException):
+        files.if_present(lambda: spark.range(1).select("missing"))
+
+
+def test_stamp_is_one_time_per_query(spark):
+    rows = files.stamp(spark.range(1000))
+    assert rows.select("ingestion_time").distinct().count() == 1
+    fixed = files.stamp(spark.range(1), at=datetime(2024, 1, 2, 3, 4, tzinfo=timezone.utc))
+    assert fixed.select(F.date_format("ingestion_time", "yyyy-MM-dd HH:mm")).first()[0] == "2024-01-02 03:04"
