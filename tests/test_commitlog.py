@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import json
+
+from oreworks.operators.monitor import history_report, history_volume
+from oreworks.sources import commitlog
+
+
+def add(path, rows, size=100, **stats):
+    return {"add": {"path": path, "partitionValues": {"d": "x"}, "size": size, "stats": json.dumps({"numRecords": rows, **stats})}}
+
+
+def remove(path):
+    return {"remove": {"path": path, "deletionTimestamp": 1, "size": 100}}
+
+
+def info(ms, operation, **metrics):
+    return {"commitInfo": {"timestamp": ms, "operation": operation, "operationParameters": {}, "operationMetrics": metrics}}
+
+
+def write_log(folder, versions):
+    folder.mkdir()
+    for v, lines in enumerate(versions):
+        (folder / f"{v:020d}.json").write_text("".join(json.dumps(line) + "\n" for line in lines))
+        (folder / f"{v:020d}.crc").write_text("{}")
+    (folder / "notes.json").write_text('{"add": {"path": "no version"}}\n')
+
+
+LOG = [
+    [info(0, "WRITE", numOutputRows="30"), {"protocol": {"minReaderVersion": 1}}, add("a", 10), add("b", 20)],
+    [info(1000, "WRITE", numOutputRows="5"), add("c", 5, minValues={"id": 1}, maxValues={"id": 9}, nullCount={"age": 2})],
+    [info(2000, "UPDATE", numUpdatedRows="3", numCopiedRows="7"), remove("a"), add("a2", 10)],
+    [info(3000, "OPTIMIZE")],
+    [info(4000, "RESTORE"), remove("a2"), add("a", 10), remove("never seen")],
+    [add("c", 6)],
+]
+
+
+def test_replay(spark, tmp_path):
+    write_log(tmp_path / "log", LOG)
+    actions = commitlog.read_commit_log(spark, str(tmp_path / "log"))
+    state = {r.version: (r.live_files, r.live_rows, r.live_bytes) for r in commitlog.replay(actions).collect()}
+    assert state == {
+        0: (2, 30, 200),
+        1: (3, 35, 300),
+        2: (3, 35, 300),
+        3: (3, 35, 300),
+        4: (3, 35, 300),
+        5: (3, 36, 300),
+    }
+    live = commitlog.live_files(actions)
+    assert sorted((r.path, r.version) for r in live.collect()) == [("a", 4), ("b", 0), ("c", 5)]
+    # Live rows are the rows of the adds that are left.
+    assert sum(r.num_records for r in commitlog.file_stats(live).collect()) == 36
+
+
+def test_stats_and_history(spark, tmp_path):
+    write_log(tmp_path / "log", LOG[:3])
+    actions = commitlog.read_commit_log(spark, str(tmp_path / "log"))
+    stats = commitlog.file_stats(commitlog.live_files(actions)).where("path = 'c'").first()
+    assert (stats.num_records, stats.min_values, stats.max_values, stats.null_count) == (
+        5,
+        {"id": "1"},
+        {"id": "9"},
+        {"age": 2},
+    )
+    history = commitlog.commit_history(actions)
+    report = [(r.version, r.timestamp, r.operation, r.rows_written) for r in history_report(history).collect()]
+    assert report == [
+        (2, "1970-01-01 00:00:02", "UPDATE", 0),
+        (1, "1970-01-01 00:00:01", "WRITE", 5),
+        (0, "1970-01-01 00:00:00", "WRITE", 30),
+    ]
+    assert [r.rows_written for r in history_volume(history).collect()] == [30, 5]

@@ -1,0 +1,82 @@
+from __future__ import annotations
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from oreworks.functions import text
+from oreworks.operators import monitor, profile
+from oreworks.sources.rowlog import append_rows, read_rows
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+def test_formats(spark):
+    assert value(spark, text.two_decimals(F.lit(57.734))) == "57.73"
+    assert value(spark, text.thousands(F.lit(1234567))) == "1,234,567"
+    assert value(spark, text.percent(F.lit(0.51234))) == "51.23%"
+    assert value(spark, text.timestamp_text(F.lit(None).cast("timestamp"))) == ""
+    assert value(spark, text.run_id(F.timestamp_seconds(F.lit(17)))) == "run_17"
+
+
+@pytest.mark.parametrize(
+    ("cell", "blank"),
+    [(None, True), ("", True), (" ", True), ("\t\n ", True), ("  ", True), ("\x1c\x1f", True), (" a ", False), ("0", False)],
+)
+def test_blank_cells(spark, cell, blank):
+    assert value(spark, text.is_blank(F.lit(cell).cast("string"))) is blank
+    assert (not cell or cell.strip() == "") is blank
+
+
+@pytest.mark.parametrize(("metrics", "n"), [({"a": "7"}, 7), ({"a": "x"}, 0), ({}, 0), (None, 0)])
+def test_metric_number(spark, metrics, n):
+    df = spark.createDataFrame([(metrics,)], "m map<string,string>")
+    assert df.select(text.metric_number(F.col("m"), "a")).first()[0] == n
+
+
+def test_incidents(spark, layout):
+    assert monitor.read_incidents(spark, layout.trace) is None
+    monitor.log_incident(spark, layout.trace, "d", "r", "t", "quote ' and \"", "CRITICAL")
+    failures = spark.createDataFrame(
+        [("d", "r", "load", "x" * 300), ("d", "r", None, None)], "dag_id string, run_id string, task_id string, exception string"
+    ).withColumn("timestamp", F.current_timestamp())
+    append_rows(monitor.failure_incidents(failures), layout.trace)
+    rows = {r.task_id: (r.message, r.status) for r in monitor.read_incidents(spark, layout.trace).collect()}
+    assert rows == {
+        "t": ("quote ' and \"", "CRITICAL"),
+        "load": ("FAILURE in task 'load': " + "x" * 200 + "...", "ERROR"),
+        "DAG": ("FAILURE in task 'DAG': Unknown Error...", "ERROR"),
+    }
+
+
+def test_record_ids_are_plain_names(spark, layout):
+    with pytest.raises(ValueError, match="plain name"):
+        append_rows(spark.range(1), layout.trace, "../other")
+
+
+def test_kpis(spark, layout):
+    none = monitor.run_kpis(read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA), None, spark).first()
+    assert tuple(none) == ("0.00", 0, "0")
+    monitor.record_run(spark, layout.run_metrics, 200.0, 3.14159)
+    monitor.record_run(spark, layout.run_metrics, 100.0, 99.0)
+    runs = read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA)
+    assert tuple(monitor.run_kpis(runs, spark.range(12345), spark).first()) == ("3.14", 12345, "12,345")
+
+
+def test_file_profile(spark, tmp_path):
+    texts = {
+        "s9bytes_a b.csv": "id,name,age\n1,Ann,\n1,Ann,\n1,Ann,\n2, ,5\n",
+        "deep/c.csv": 'id,name,age\n1,"A,B",3\n"1","A,B",3\n',
+        "deep/skip.json": "{}",
+    }
+    for name, body in texts.items():
+        path = tmp_path / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(body)
+    rows = profile.profile_csv_files(spark, str(tmp_path), ["id", "name", "age"]).collect()
+    got = {os.path.basename(r.profile_name): (r.n_rows, r.duplicate_rows, r.empty_cells, r.size_bytes) for r in rows}
+    a, c = (len(texts[n].encode()) for n in ("s9bytes_a b.csv", "deep/c.csv"))
+    assert got == {f"s{a}d2n4_a b.csv": (4, 2, 4, a), f"s{c}d1n0_c.csv": (2, 1, 0, c)}
