@@ -52,7 +52,9 @@ def profile_csv_files(spark: SparkSession, folder: str, columns: Sequence[str])
         )
     )
     profile = profile_rows(rows, ["file_path", "file_name", "size_bytes"], columns)
-    base = F.regexp_replace("file_name", "^.*?bytes_", "")
+    # File names in the scan's metadata are URL-encoded.
+    name = F.url_decode(F.replace("file_name", F.lit("+"), F.lit("%2B")))
+    base = F.regexp_replace(name, "^.*?bytes_", "")
     return profile.withColumn(
         "profile_name",
         F.format_string(PROFILE_NAME, "size_bytes", "duplicate_rows", "empty_cells", base),
