@@ -31,22 +31,34 @@ def quality_metrics(
 ) -> DataFrame:
     """Row count, violations per rule and duplicate keys, as one row (or one per ``by`` group).
 
-    Duplicates are rows minus distinct keys. Counting a struct of the key keeps
-    NULL as one key value. Spark plans the exact distinct count as a partial
-    aggregate per key before its shuffle, so a hot key is cut to one row per
-    task; only the rule and key columns are read.
+    Duplicates are rows minus distinct keys, NULL being one key value. One scan
+    of the rule and key columns: first counters per key, then their sums. The
+    partial aggregate in front of the shuffle cuts a hot key to one row per task.
     """
-    counters = [
+    totals = ["total_rows", *[r.metric for r in spec.rules]]
+    per_key = df.groupBy(*by, *spec.key).agg(*_counters(spec))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals]
+    duplicates = F.coalesce(F.sum("total_rows"), F.lit(0)) - F.count(F.lit(1))
+    when = F.current_timestamp() if at is None else at if isinstance(at, Column) else F.lit(at)
+    return (
+        per_key.groupBy(*by).agg(*sums, duplicates.alias(spec.duplicate_metric)).withColumn("validation_time", when)
+    )
+
+
+def rule_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Row count and violations per rule only: all the gate needs, and no shuffle of rows."""
+    return df.agg(*_counters(spec))
+
+
+def _counters(spec: TableSpec) -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         *[F.count_if(F.expr(r.condition)).alias(r.metric) for r in spec.rules],
-        (F.count(F.lit(1)) - F.count_distinct(F.struct(*spec.key))).alias(spec.duplicate_metric),
     ]
-    when = F.current_timestamp() if at is None else at if isinstance(at, Column) else F.lit(at)
-    return df.groupBy(*by).agg(*counters).withColumn("validation_time", when)
 
 
 def gate(metrics: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add ``<metric>_ratio`` per blocking rule and ``passed``.
+    """Add ``<metric>_ratio`` per blocking rule and ``passed`` to metrics or rule counts.
 
     A rule blocks when its ratio is strictly above its bound, so a ratio equal
     to the bound passes. A table without rows passes.

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from oreworks.operators.clean import dedup_by_key, derive_date, fill_nulls
 from oreworks.operators.marts import gold_by_date
 from oreworks.operators.monitor import log_incident, record_run
-from oreworks.operators.quality import gate, metric_names, metrics_schema, quality_metrics
+from oreworks.operators.quality import gate, metric_names, metrics_schema, quality_metrics, rule_counts
 from oreworks.sources.files import read_drop, stamp
 from oreworks.sources.rowlog import append_rows, one_row
 from oreworks.sources.versioned import Commit, VersionedTable
@@ -73,11 +73,22 @@ def check_quality(
     row = gate(quality_metrics(bronze, spec, at=at), spec).first()
     metrics = {name: row[name] for name in metric_names(spec)}
     if metrics["total_rows"]:
-        record = {**metrics, "validation_time": at or datetime.now(timezone.utc)}
-        append_rows(one_row(spark, metrics_schema(spec), record), layout.dq_metrics, record_id)
+        _append_metrics(spark, spec, layout, metrics, at, record_id)
     return row["passed"], metrics
 
 
+def _append_metrics(
+    spark: SparkSession,
+    spec: TableSpec,
+    layout: Layout,
+    metrics: Mapping[str, int],
+    at: datetime | None,
+    record_id: str | None,
+) -> None:
+    record = {**metrics, "validation_time": at or datetime.now(timezone.utc)}
+    append_rows(one_row(spark, metrics_schema(spec), record), layout.dq_metrics, record_id)
+
+
 def write_layer(table: VersionedTable, df: DataFrame, mode: str, **how) -> Commit:
     if mode not in LAYER_MODES:
         raise ValueError(f"mode must be one of {LAYER_MODES}")
@@ -111,7 +122,8 @@ def run_medallion(
     are computed again.
 
     Each input file is parsed once, by the bronze write; the gate and silver read
-    the Parquet rows, the gate its rule and key columns only.
+    the Parquet rows, the gate its rule columns only. The one shuffle of rows is
+    silver's dedup.
     """
     started = time.monotonic()
     clock = at or datetime.now(timezone.utc)
@@ -129,14 +141,24 @@ def run_medallion(
         bronze = tables["bronze"].read_commit(written)
         bronze_count = written.metric("numOutputRows")
 
-        passed, metrics = check_quality(spark, bronze, spec, layout, clock, batch_id)
-        if not passed:
+        # The gate itself needs no shuffle. Duplicates do, but when silver is written
+        # they are the rows it dropped; only a halt or a failure counts them apart.
+        counts = gate(rule_counts(bronze, spec), spec).first()
+        if not counts["passed"]:
+            _, metrics = check_quality(spark, bronze, spec, layout, clock, batch_id)
             log_incident(
                 spark, layout.trace, PIPELINE, run_id, GATE_TASK, GATE_MESSAGE, "CRITICAL", at=clock, record_id=batch_id
             )
             return RunResult(run_id, HALTED, bronze_count, metrics=metrics)
+        try:
+            silver = write_layer(tables["silver"], silver_rows(bronze, spec), silver_mode, **how)
+        except Exception:
+            check_quality(spark, bronze, spec, layout, clock, batch_id)
+            raise
+        dropped = counts["total_rows"] - silver.metric("numOutputRows")
+        metrics = {n: dropped if n == spec.duplicate_metric else counts[n] for n in metric_names(spec)}
+        _append_metrics(spark, spec, layout, metrics, clock, batch_id)
 
-        silver = write_layer(tables["silver"], silver_rows(bronze, spec), silver_mode, **how)
         current = tables["silver"].read_commit(silver)
         gold_mode = "overwrite"
         if silver_mode != "overwrite":

@@ -41,12 +41,18 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+# Above this, map tasks x partitions makes more shuffle blocks than the data is worth;
+# partitions then grow past the target and sort with spilling.
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
 def size_shuffles(spark: SparkSession, input_bytes: int, target_bytes: int = 128 * 1024 * 1024) -> int:
     """Raise ``spark.sql.shuffle.partitions`` so that one shuffle partition holds about ``target_bytes``.
 
     AQE merges partitions that turn out small but never adds any, so the number
     has to fit the input: the default would mean half a terabyte per task at 100 TB.
     """
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // target_bytes))
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, min(-(-input_bytes // target_bytes), MAX_SHUFFLE_PARTITIONS))
     spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
     return wanted

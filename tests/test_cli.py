@@ -32,7 +32,8 @@ def test_commands(spark, layout, drop, capsys):
 def test_shuffle_sizing(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert size_shuffles(spark, 10**15, 10**9) == 10**6
-        assert size_shuffles(spark, 1) == 10**6
+        assert size_shuffles(spark, 10**12, 10**9) == 1000
+        assert size_shuffles(spark, 1) == 1000
+        assert size_shuffles(spark, 10**15) == 50_000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

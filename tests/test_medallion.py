@@ -79,6 +79,19 @@ def test_error_is_logged_and_raised(spark, layout, drop):
     assert spark.range(1).count() == 1
 
 
+def test_failed_silver_leaves_the_metrics_row(spark, layout, drop, monkeypatch):
+    drop("a.csv", CSV_ROWS)
+
+    def broken(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(medallion, "silver_rows", broken)
+    with pytest.raises(RuntimeError):
+        run_medallion(spark, PEOPLE, layout)
+    row = read_rows(spark, layout.dq_metrics, metrics_schema(PEOPLE)).first()
+    assert (row.total_rows, row.duplicate_ids) == (6, 1)
+
+
 def test_silver_modes(spark, layout):
     tables = layer_tables(spark, PEOPLE, layout)
 
