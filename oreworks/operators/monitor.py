@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,14 +99,17 @@ def run_kpis(runs: DataFrame | None, silver: DataFrame | None, spark: SparkSessi
     )
 
 
-def history_report(history: DataFrame) -> DataFrame:
-    """Rows and bytes written per version, newest first; operations without the metric show 0."""
+def history_report(history: DataFrame, more: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows and bytes written per version, newest first; operations without a metric show 0.
+
+    ``more`` adds further metrics, by column name.
+    """
+    metrics = {"rows_written": "numOutputRows", "output_bytes": "numOutputBytes", **(more or {})}
     return history.select(
         "version",
         timestamp_text(F.col("timestamp")).alias("timestamp"),
         "operation",
-        metric_number(F.col("operation_metrics"), "numOutputRows").alias("rows_written"),
-        metric_number(F.col("operation_metrics"), "numOutputBytes").alias("output_bytes"),
+        *[metric_number(F.col("operation_metrics"), metric).alias(name) for name, metric in metrics.items()],
     ).orderBy(F.desc("version"))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreworks.functions.text import metric_number, percent, run_id
+from oreworks.functions.text import percent, run_id
 from oreworks.operators import clean, datagen, export, marts, monitor, profile, quality
 from oreworks.plans import medallion
 from oreworks.session import work_dir
@@ -331,15 +331,8 @@ def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     commits = _four_versions(spark, sf_dir, "history").history()
-    row_metrics = commits.select(
-        F.col("version").alias("v"),
-        *[
-            metric_number(F.col("operation_metrics"), f"num{kind}Rows").alias(f"{kind.lower()}_rows")
-            for kind in ("Updated", "Deleted", "Copied")
-        ],
-    )
-    report = monitor.history_report(commits).drop("output_bytes")
-    return report.join(row_metrics, F.col("version") == F.col("v")).drop("v")
+    more = {"updated_rows": "numUpdatedRows", "deleted_rows": "numDeletedRows", "copied_rows": "numCopiedRows"}
+    return monitor.history_report(commits, more).drop("output_bytes")
 
 
 def history_volume(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,10 +310,17 @@ class VersionedTable:
             return df if touched is None else df.where(_partition_key(by).isin(touched))
 
         version = last.version + 1
-        counted, counts = _observe(
-            within(table).drop(_VERSION), hit=F.count_if(hit), kept=F.count_if(~hit)
-        )
-        self._save(rewrite(counted), version, by)
+        part = within(table).drop(_VERSION)
+        if operation == "UPDATE":
+            counted, counts = _observe(part, hit=F.count_if(hit), kept=F.count_if(~hit))
+            self._save(rewrite(counted), version, by)
+            kept, hits = counts.get["kept"], counts.get["hit"]
+        else:
+            # Counted above the filter: below one that folds to nothing, the counters would go with it.
+            counted, counts = _observe(rewrite(part), kept=F.count(F.lit(1)))
+            self._save(counted, version, by)
+            kept = counts.get["kept"]
+            hits = part.count() - kept
         removed = _files_and_bytes(within(self.live_files(last)))
         files, size = self._written(version, last.schema, by)
         return self._commit(
@@ -323,8 +330,8 @@ class VersionedTable:
             operation=operation,
             operation_parameters={"predicate": condition},
             operation_metrics={
-                "numUpdatedRows" if operation == "UPDATE" else "numDeletedRows": counts.get["hit"],
-                "numCopiedRows": counts.get["kept"],
+                "numUpdatedRows" if operation == "UPDATE" else "numDeletedRows": hits,
+                "numCopiedRows": kept,
                 "numAddedFiles": files,
                 "numAddedBytes": size,
                 "numRemovedFiles": removed["files"],
@@ -415,9 +422,9 @@ def _files_and_bytes(files: DataFrame) -> Row:
 def _observe(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
     """Count rows inside the write job itself.
 
-    ``df`` must reach the write without a shuffle in between: the counters then
-    sit in the job's last stage, where Spark merges each task's numbers once even
-    if an executor is lost and the task runs again.
+    ``df`` must reach the write without a shuffle or filter in between: the
+    counters then sit in the job's last stage, where Spark merges each task's
+    numbers once even if an executor is lost and the task runs again.
     """
     seen = Observation()
     return df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), seen

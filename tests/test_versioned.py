@@ -67,6 +67,15 @@ def test_update_and_delete_with_null_conditions(spark, table):
     assert gone.metric("numRemovedFiles") > 0 and gone.metric("numAddedBytes") > 0
 
 
+def test_delete_of_everything(spark, table):
+    table.overwrite(people(spark, 0, 20))
+    done = table.delete("true")
+    assert (done.metric("numDeletedRows"), done.metric("numCopiedRows")) == (20, 0)
+    assert table.read().count() == 0
+    assert table.append(people(spark, 0, 3).where("1 = 0")).metric("numOutputRows") == 0
+    assert table.update("true", {"age": "1"}) is None
+
+
 def test_mutation_that_matches_nothing_adds_no_version(spark, table):
     table.overwrite(people(spark, 0, 10))
     assert table.delete("age > 1000") is None
