@@ -7,12 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
 
 def export_csv(df: DataFrame, path: str, order: Sequence[Column]) -> None:
     """Write all rows as CSV in one global order: part files by name, rows within a file.
 
-    Every part has a header line. The row id behind the order lets the range
-    partitioning split rows whose order values are equal over several tasks.
+    Every part has a header line. Quotes inside cells are doubled, NULL and empty
+    text are empty cells, times keep their microseconds. The row id behind the
+    order lets the range partitioning split rows whose order values are equal
+    over several tasks.
     """
     columns = df.columns
     (
@@ -22,5 +26,9 @@ def export_csv(df: DataFrame, path: str, order: Sequence[Column]) -> None:
         .write.mode("errorifexists")
         .option("header", True)
         .option("encoding", "UTF-8")
+        .option("escape", '"')
+        .option("emptyValue", "")
+        .option("timestampFormat", TIME_FORMAT)
+        .option("timestampNTZFormat", TIME_FORMAT)
         .csv(path)
     )

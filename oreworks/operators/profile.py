@@ -31,16 +31,22 @@ def profile_rows(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
     )
 
 
-def profile_csv_files(spark: SparkSession, folder: str, columns: Sequence[str]) -> DataFrame:
+def profile_csv_files(
+    spark: SparkSession, folder: str, columns: Sequence[str], *, multi_line: bool = False
+) -> DataFrame:
     """Profile every ``*.csv`` below ``folder`` in one job; cells are read as text, the header is skipped.
 
     ``profile_name`` is the name the file would get; nothing is renamed. Blank
     lines are not rows here, and cells missing from a short row count as empty.
+    ``multi_line`` allows line breaks inside quoted cells; Spark then reads each
+    file in one task, so leave it off for large files.
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = (
         spark.read.schema(schema)
         .option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .csv(folder)

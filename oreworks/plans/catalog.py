@@ -384,6 +384,17 @@ def file_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.profile_rows(raw_rows(spark, sf_dir), ["source_file"], PEOPLE_COLUMNS)
 
 
+def file_profile_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile of CSV files on disk, summed over the files; how rows split into files is Spark's choice."""
+    folder = work_dir(spark, "file_profile_csv")
+    raw_rows(spark, sf_dir).select(*PEOPLE_COLUMNS).write.option("header", True).csv(folder)
+    return profile.profile_csv_files(spark, folder, PEOPLE_COLUMNS).agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("empty_cells").alias("empty_cells"),
+        F.bool_and(F.col("profile_name").startswith(F.format_string("s%dd", "size_bytes"))).alias("names_hold_size"),
+    )
+
+
 def _commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A commit log told by the events: each day is a version that adds one file per event type.
 
@@ -556,6 +567,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_as_of": read_as_of,
     "incident_log": incident_log,
     "file_profile": file_profile,
+    "file_profile_csv": file_profile_csv,
     "commit_log_replay": commit_log_replay,
     "commit_log_history": commit_log_history,
     "file_stats": file_stats,

@@ -183,6 +183,10 @@ _BODIES = {
                sum(n * ((id is null)::int + (name is null or trim(name) = '')::int + (age is null)::int)) as empty_cells
         from (select source_file, id, name, age, count(*) as n from raw_v group by all)
         group by source_file""",
+    "file_profile_csv": """
+        select count(*) as n_rows, count(*) filter (where id is null) + count(*) filter (where age is null) as empty_cells,
+               true as names_hold_size
+        from raw_v""",
     "commit_log_replay": """
         , change_v as (
           select version, n, true as added from day_v

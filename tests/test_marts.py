@@ -1,7 +1,8 @@
 from __future__ import annotations
 
+import csv
 import glob
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
@@ -62,3 +63,19 @@ def test_export_is_ordered_across_parts_even_with_equal_keys(spark, tmp_path):
     assert len(lines) == 2050
     assert all(line.startswith(",n") for line in lines[:2000])
     assert [int(line.split(",")[0]) for line in lines[2000:]] == list(range(50))
+
+
+def test_export_keeps_text_and_times_exactly(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, 'say "a, b"', datetime(2024, 1, 2, 3, 4, 5, 678901)), (2, "", None), (3, "plain", None)],
+        "id int, name string, at timestamp_ntz",
+    )
+    export.export_csv(df.coalesce(1), str(tmp_path / "out"), [F.col("id")])
+    (part,) = glob.glob(f"{tmp_path}/out/part-*")
+    with open(part, newline="", encoding="utf-8") as f:
+        assert list(csv.reader(f)) == [
+            ["id", "name", "at"],
+            ["1", 'say "a, b"', "2024-01-02 03:04:05.678901"],
+            ["2", "", ""],
+            ["3", "plain", ""],
+        ]

@@ -69,7 +69,7 @@ def test_kpis(spark, layout):
 def test_file_profile(spark, tmp_path):
     texts = {
         "s9bytes_a b.csv": "id,name,age\n1,Ann,\n1,Ann,\n1,Ann,\n2, ,5\n",
-        "deep/c.csv": 'id,name,age\n1,"A,B",3\n"1","A,B",3\n',
+        "deep/c.csv": 'id,name,age\n1,"A,""B""",3\n"1","A,""B""",3\n1,"A,B",3\n',
         "deep/skip.json": "{}",
     }
     for name, body in texts.items():
@@ -79,4 +79,4 @@ def test_file_profile(spark, tmp_path):
     rows = profile.profile_csv_files(spark, str(tmp_path), ["id", "name", "age"]).collect()
     got = {os.path.basename(r.profile_name): (r.n_rows, r.duplicate_rows, r.empty_cells, r.size_bytes) for r in rows}
     a, c = (len(texts[n].encode()) for n in ("s9bytes_a b.csv", "deep/c.csv"))
-    assert got == {f"s{a}d2n4_a b.csv": (4, 2, 4, a), f"s{c}d1n0_c.csv": (2, 1, 0, c)}
+    assert got == {f"s{a}d2n4_a b.csv": (4, 2, 4, a), f"s{c}d1n0_c.csv": (3, 1, 0, c)}
