@@ -139,6 +139,9 @@ def run_medallion(
         # Bronze time is one constant of the batch, so it is fixed before the write.
         written = tables["bronze"].overwrite(bronze_rows(raw, spec, clock), **how)
         bronze = tables["bronze"].read_commit(written)
+        # A batch tried again keeps the clock, and so the date, of its first try.
+        clock = written.timestamp
+        how["timestamp"] = clock
         bronze_count = written.metric("numOutputRows")
 
         # The gate itself needs no shuffle. Duplicates do, but when silver is written

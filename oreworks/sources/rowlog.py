@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Mapping
+from datetime import datetime, timezone
 from typing import Any
 
 import pyarrow as pa
@@ -18,8 +19,17 @@ _RECORD = "record_id"
 
 
 def one_row(spark: SparkSession, schema: T.StructType, row: Mapping[str, Any]) -> DataFrame:
-    """A single literal row under an explicit schema; Arrow input needs no Python task."""
-    cells = {k: list(v.items()) if isinstance(v, Mapping) else v for k, v in row.items()}
+    """A single literal row under an explicit schema; Arrow input needs no Python task.
+
+    A datetime without a zone is local time, as everywhere in PySpark.
+    """
+
+    def cell(value: Any) -> Any:
+        if isinstance(value, Mapping):
+            return list(value.items())
+        return value.astimezone(timezone.utc) if isinstance(value, datetime) else value
+
+    cells = {name: cell(value) for name, value in row.items()}
     return spark.createDataFrame(pa.Table.from_pylist([cells], schema=to_arrow_schema(schema)), schema)
 
 

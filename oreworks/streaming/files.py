@@ -46,9 +46,15 @@ def stream_drop(
 
 
 def _start(
-    stream: DataFrame, name: str, layout: Layout, each: Callable[[DataFrame, int], None], every: str | None
+    stream: DataFrame, name: str, layout: Layout, each: Callable[[DataFrame, str], None], every: str | None
 ) -> StreamingQuery:
-    writer = stream.writeStream.queryName(name).option("checkpointLocation", layout.checkpoint(name)).foreachBatch(each)
+    def named(batch: DataFrame, number: int) -> None:
+        # The query id lives in the checkpoint: the same over restarts, another one for a
+        # new checkpoint, whose batches start from 0 again and must not pass for old ones.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        each(batch, f"{name}_{query_id}_{number}")
+
+    writer = stream.writeStream.queryName(name).option("checkpointLocation", layout.checkpoint(name)).foreachBatch(named)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
@@ -68,9 +74,9 @@ def start_ingest(
     takes what is there and ends. A batch tried again finds its own commit.
     """
 
-    def each(batch: DataFrame, number: int) -> None:
+    def each(batch: DataFrame, batch_id: str) -> None:
         table = VersionedTable(batch.sparkSession, layout.bronze)
-        table.append(bronze_rows(batch, spec), batch_id=f"{name}_{number}")
+        table.append(bronze_rows(batch, spec), batch_id=batch_id)
 
     return _start(stream_drop(spark, spec, layout, **source), name, layout, each, every)
 
@@ -93,9 +99,9 @@ def start_medallion(
     start tries the batch again. ``on_result`` receives each batch's RunResult.
     """
 
-    def each(batch: DataFrame, number: int) -> None:
+    def each(batch: DataFrame, batch_id: str) -> None:
         result = run_medallion(
-            batch.sparkSession, spec, layout, raw=batch, silver_mode=silver_mode, batch_id=f"{name}_{number}"
+            batch.sparkSession, spec, layout, raw=batch, silver_mode=silver_mode, batch_id=batch_id
         )
         if on_result:
             on_result(result)

@@ -121,16 +121,19 @@ def test_retried_batch_commits_each_layer_once(spark, layout, monkeypatch):
     def broken(*_):
         raise RuntimeError("lost")
 
+    how = {"raw": raw, "silver_mode": "append", "batch_id": "q_0"}
     with monkeypatch.context() as m:
         m.setattr(medallion, "gold_by_date", broken)
         with pytest.raises(RuntimeError):
-            run_medallion(spark, PEOPLE, layout, raw=raw, silver_mode="append", batch_id="q_0")
-    result = run_medallion(spark, PEOPLE, layout, raw=raw, silver_mode="append", batch_id="q_0")
+            run_medallion(spark, PEOPLE, layout, at=NOON, **how)
+    # The second try comes on another day; the batch keeps its first one.
+    result = run_medallion(spark, PEOPLE, layout, at=NOON + timedelta(days=1), **how)
     tables = layer_tables(spark, PEOPLE, layout)
     assert result.silver_rows == 2
     assert tables["bronze"].commit_at().version == 0
     assert tables["silver"].read().count() == 2
-    assert tables["gold"].read().first()["total_users"] == 2
+    gold = tables["gold"].read().first()
+    assert (str(gold.processed_date), gold.total_users) == ("2024-03-01", 2)
     assert read_rows(spark, layout.dq_metrics, metrics_schema(PEOPLE)).count() == 1
 
 

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
 import os
+import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
 
 from oreworks.functions import text
 from oreworks.operators import monitor, profile
-from oreworks.sources.rowlog import append_rows, read_rows
+from oreworks.sources.rowlog import append_rows, one_row, read_rows
 
 
 def value(spark, column):
@@ -57,6 +60,19 @@ def test_record_ids_are_plain_names(spark, layout):
         append_rows(spark.range(1), layout.trace, "../other")
 
 
+def test_datetimes_without_zone_are_local(spark, monkeypatch):
+    monkeypatch.setenv("TZ", "Asia/Tokyo")
+    time.tzset()
+    try:
+        noon = datetime(2024, 1, 2, 12)
+        row = one_row(spark, StructType([StructField("t", TimestampType())]), {"t": noon})
+        text = row.select(F.date_format("t", "yyyy-MM-dd HH:mm"), (F.col("t") == F.lit(noon))).first()
+        assert tuple(text) == ("2024-01-02 03:00", True)
+    finally:
+        monkeypatch.undo()
+        time.tzset()
+
+
 def test_kpis(spark, layout):
     none = monitor.run_kpis(read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA), None, spark).first()
     assert tuple(none) == ("0.00", 0, "0")

@@ -6,7 +6,7 @@ import pytest
 
 from oreworks.operators.monitor import read_incidents
 from oreworks.plans.medallion import layer_tables
-from oreworks.spec import PEOPLE
+from oreworks.spec import PEOPLE, Layout
 from oreworks.streaming.files import start_ingest, start_medallion
 
 from .conftest import CSV_ROWS, JSON_ROWS
@@ -75,3 +75,17 @@ def test_failed_batch_is_logged_and_tried_again(spark, layout, drop):
     finish(start_medallion(spark, PEOPLE, layout, on_result=results.append))
     assert [r.silver_rows for r in results] == [5]
     assert layer_tables(spark, PEOPLE, layout)["bronze"].commit_at().version == 0
+
+
+def test_new_checkpoint_is_a_new_query(spark, layout, drop):
+    """Batch numbers start again; the batches are not taken for those already committed."""
+    drop("a.csv", CSV_ROWS)
+    finish(start_ingest(spark, PEOPLE, layout))
+
+    class Other(Layout):
+        def checkpoint(self, query):
+            return f"{self.base}/second/{query}"
+
+    finish(start_ingest(spark, PEOPLE, Other(layout.base)))
+    batches = {r.batch_id for r in layer_tables(spark, PEOPLE, layout)["bronze"].commits().collect()}
+    assert len(batches) == 2 and all(b.endswith("_0") and "None" not in b for b in batches)
