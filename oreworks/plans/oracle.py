@@ -83,7 +83,7 @@ _BODIES = {
                case when event_id % 2 = 0 then 'csv' else 'json' end as file_kind from raw_v""",
     "bronze_lineage": """
         select case when event_id % 2 = 0 then 'csv' else 'json' end as file_kind,
-               count(*) as n_rows, 1 as n_times
+               count(*) as n_rows, cast(1 as bigint) as n_times
         from raw_v group by 1""",
     "read_layer": f"select {_RAW} from raw_v",
     "write_overwrite": f"select {_RAW} from raw_v where event_id % 2 = 1",
@@ -147,7 +147,7 @@ _BODIES = {
           select * replace (case when id < 5 then age + 1 else age end as age) from silver_v)""",
     "delete_where": f"select {_SILVER_SHORT} from silver_v where not coalesce(age > 80, false)",
     "history": """
-        select 0 as version, '2024-02-01 12:00:00' as timestamp, 'WRITE' as operation, count(*) as rows_written,
+        select cast(0 as bigint) as version, '2024-02-01 12:00:00' as timestamp, 'WRITE' as operation, count(*) as rows_written,
                0 as updated_rows, 0 as deleted_rows, 0 as copied_rows
         from v1 where event_id % 2 = 0
         union all
@@ -165,10 +165,10 @@ _BODIES = {
         union all
         select '2024-02-01 12:00:01', count(*) from v1 where event_id % 2 = 1""",
     "table_versions": """
-        select 0 as version, count(*) as n_rows, sum(age) as age_sum from v1 where event_id % 2 = 0
-        union all select 1, count(*), sum(age) from v1
-        union all select 2, count(*), sum(age) from v2
-        union all select 3, count(*), sum(age) from v3""",
+        select 0 as version, count(*) as n_rows, cast(sum(age) as bigint) as age_sum from v1 where event_id % 2 = 0
+        union all select 1, count(*), cast(sum(age) as bigint) from v1
+        union all select 2, count(*), cast(sum(age) as bigint) from v2
+        union all select 3, count(*), cast(sum(age) as bigint) from v3""",
     "read_as_of": f"""
         select id, name, age, event_id, {_DAY.format('processed_date')} as processed_date
         from v1 where event_id % 2 = 0""",
@@ -179,8 +179,9 @@ _BODIES = {
                'ERROR' as status, {_TIME.format('ts')} as timestamp
         from events where event_type = 'error'""",
     "file_profile": """
-        select source_file, sum(n) as n_rows, sum(n - 1) as duplicate_rows,
-               sum(n * ((id is null)::int + (name is null or trim(name) = '')::int + (age is null)::int)) as empty_cells
+        select source_file, cast(sum(n) as bigint) as n_rows, cast(sum(n - 1) as bigint) as duplicate_rows,
+               cast(sum(n * ((id is null)::int + (name is null or trim(name) = '')::int + (age is null)::int)) as bigint)
+                 as empty_cells
         from (select source_file, id, name, age, count(*) as n from raw_v group by all)
         group by source_file""",
     "file_profile_csv": """
@@ -193,20 +194,20 @@ _BODIES = {
           union all select version + 1, n, false from day_v where version % 3 = 0
         ), version_v as (
           select version,
-                 count(*) filter (where added) as added_files, coalesce(sum(n) filter (where added), 0) as added_rows,
-                 coalesce(sum(n * 5) filter (where added), 0) as added_bytes,
+                 count(*) filter (where added) as added_files, cast(coalesce(sum(n) filter (where added), 0) as bigint) as added_rows,
+                 cast(coalesce(sum(n * 5) filter (where added), 0) as bigint) as added_bytes,
                  count(*) filter (where not added) as removed_files,
-                 coalesce(sum(n) filter (where not added), 0) as removed_rows,
-                 coalesce(sum(n * 5) filter (where not added), 0) as removed_bytes
+                 cast(coalesce(sum(n) filter (where not added), 0) as bigint) as removed_rows,
+                 cast(coalesce(sum(n * 5) filter (where not added), 0) as bigint) as removed_bytes
           from change_v group by version)
-        select *, sum(added_files - removed_files) over w as live_files,
-               sum(added_rows - removed_rows) over w as live_rows,
-               sum(added_bytes - removed_bytes) over w as live_bytes
+        select *, cast(sum(added_files - removed_files) over w as bigint) as live_files,
+               cast(sum(added_rows - removed_rows) over w as bigint) as live_rows,
+               cast(sum(added_bytes - removed_bytes) over w as bigint) as live_bytes
         from version_v window w as (order by version)""",
     "commit_log_history": """
         select version, strftime(timestamp '1970-01-01' + to_days(cast(version as integer)), '%Y-%m-%d %H:%M:%S')
                  as timestamp,
-               'WRITE' as operation, sum(n) as rows_written, 0 as output_bytes
+               'WRITE' as operation, cast(sum(n) as bigint) as rows_written, cast(0 as bigint) as output_bytes
         from day_v group by version""",
     "file_stats": """
         select 'day=' || version || '/' || event_type || '.snappy.parquet' as path, n as num_records,
@@ -214,7 +215,7 @@ _BODIES = {
         from day_v where version % 3 <> 0""",
     "medallion_run": """
         select 'run_1706788800' as run_id, 'succeeded' as status, total_rows as bronze_rows,
-               (select count(*) from drop_silver_v) as silver_rows, 1 as gold_rows,
+               (select count(*) from drop_silver_v) as silver_rows, cast(1 as bigint) as gold_rows,
                null_ids, negative_ages, invalid_ages, duplicate_ids, '2024-02-01' as processed_date,
                (select avg(age) from drop_silver_v) as average_age,
                (select count(*) from drop_silver_v) as total_users

@@ -35,3 +35,7 @@ def spark_rows(df):
 def duck_rows(con, sql):
     done = con.execute(sql)
     return _rows([d[0] for d in done.description], done.fetchall())
+
+
+def duck_types(con, sql):
+    return {row[0]: row[1] for row in con.execute(f"describe {sql}").fetchall()}

@@ -6,7 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-from .oracle_compare import connect, duck_rows, spark_rows
+from .oracle_compare import connect, duck_rows, duck_types, spark_rows
 
 
 @pytest.fixture(scope="module")
@@ -18,9 +18,14 @@ def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
 
 
+TYPES = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query(spark, sf_dir, duck, name):
-    assert spark_rows(queries()[name](spark, sf_dir)) == duck_rows(duck, oracle_sql()[name])
+    df, sql = queries()[name](spark, sf_dir), oracle_sql()[name]
+    assert dict(df.dtypes) == {column: TYPES[kind] for column, kind in duck_types(duck, sql).items()}
+    assert spark_rows(df) == duck_rows(duck, sql)
 
 
 def test_entry(spark):
