@@ -3,17 +3,19 @@
 Layout of one table::
 
     <path>/data/commit_version=<N>/...   rows written by commit N, Hive-partitioned below
-    <path>/commits/                      one row per commit
+    <path>/commits/commit=<N>/           the one row of commit N
 
 Rows are written first and the commit row second, and readers only open the
 versions the latest commit names, so a write that died half-way is never seen;
 the next writer replaces it. A table has one writer at a time.
 
 A commit states its whole table in bounded space: the directories
-``base_version..version``, the schema, and for each partition that was ever
-replaced the oldest version still valid for it (``partition_floor``). Reading is
-one Parquet scan with a filter on partition columns only, so replaced
-directories are pruned while planning and no file footer is opened for the schema.
+``base_version..version``, the schema, for each partition that was ever
+replaced the oldest version still valid for it (``partition_floor``), and the
+last batch of each writer (``batches``). So reading and writing open the latest
+commit only, however many there are. The read itself is one Parquet scan with a
+filter on partition columns, so replaced directories are pruned while planning
+and no file footer is opened for the schema.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("operation", T.StringType()),
         T.StructField("operation_parameters", T.MapType(T.StringType(), T.StringType())),
         T.StructField("operation_metrics", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("batch_id", T.StringType()),
+        T.StructField("batches", T.MapType(T.StringType(), T.LongType())),
         T.StructField("table_schema", T.StringType()),
         T.StructField("partition_by", T.ArrayType(T.StringType())),
         T.StructField("partition_floor", T.MapType(T.StringType(), T.LongType())),
@@ -63,7 +65,7 @@ class Commit:
     operation: str
     operation_parameters: Mapping[str, str]
     operation_metrics: Mapping[str, str]
-    batch_id: str | None
+    batches: Mapping[str, int]
     table_schema: str
     partition_by: Sequence[str]
     partition_floor: Mapping[str, int]
@@ -93,24 +95,58 @@ class VersionedTable:
         self.spark = spark
         self.path = path.rstrip("/")
         self.partition_by = tuple(partition_by)
+        self._known = -1  # newest version this object has seen
 
     # -- commits -----------------------------------------------------------------
 
     def commits(self) -> DataFrame | None:
         """The commit table, or None when the table does not exist."""
-        return if_present(lambda: self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits"))
+        return self._commit_rows(f"{self.path}/commits")
 
     def commit_at(self, version: int | None = None, as_of: datetime | None = None) -> Commit | None:
-        """The latest commit, or the latest one up to a version number or a time."""
-        commits = self.commits()
-        if commits is None:
-            return None
-        if version is not None:
-            commits = commits.where(F.col("version") == version)
+        """The latest commit, the one of a version number, or the latest one up to a time."""
         if as_of is not None:
-            commits = commits.where(F.col("timestamp") <= F.lit(as_of))
-        row = commits.orderBy(F.desc("version")).limit(1).collect()
-        return Commit(**row[0].asDict()) if row else None
+            rows = self.commits()
+            return None if rows is None else _newest(rows.where(F.col("timestamp") <= F.lit(as_of)))
+        if version is not None:
+            rows = self._commit_rows(self._commit_path(version))
+            return None if rows is None else _newest(rows)
+        return self._latest()
+
+    def _latest(self) -> Commit | None:
+        """Find the highest version by looking at a few paths, without listing them all.
+
+        Versions have no gaps, so doubling steps upward and then halving between
+        the last version that is there and the first that is not will find it.
+        """
+        there, step = self._known, 1
+        while self._has_commit(there + step):
+            there += step
+            step *= 2
+        missing = there + step
+        while missing - there > 1:
+            middle = (there + missing) // 2
+            if self._has_commit(middle):
+                there = middle
+            else:
+                missing = middle
+        # Only the topmost path can lack its row, when its writer died at this point.
+        for version in (there, there - 1):
+            commit = self.commit_at(version) if version >= 0 else None
+            if commit:
+                self._known = commit.version
+                return commit
+        return None
+
+    def _commit_path(self, version: int) -> str:
+        return f"{self.path}/commits/commit={version}"
+
+    def _commit_rows(self, path: str) -> DataFrame | None:
+        rows = if_present(lambda: self.spark.read.schema(COMMIT_SCHEMA).parquet(path))
+        return None if rows is None else rows.select(*COMMIT_SCHEMA.names)
+
+    def _has_commit(self, version: int) -> bool:
+        return self._commit_rows(self._commit_path(version)) is not None
 
     def exists(self) -> bool:
         return self.commit_at() is not None
@@ -196,15 +232,15 @@ class VersionedTable:
     ) -> Commit:
         """Write one version.
 
-        ``batch_id`` makes the write idempotent: a batch already committed is
-        not written again. ``rebalance`` evens out file sizes per partition
+        ``batch_id`` (``<writer>_<number>``) makes the write idempotent: the last
+        batch of a writer, when it is committed, is not written again. ``rebalance`` evens out file sizes per partition
         (splitting a hot one) for the price of a shuffle; leave it off when a
         batch lands in one partition anyway.
         """
-        done = self._committed(batch_id)
+        last = self.commit_at()
+        done = self._committed(last, batch_id)
         if done:
             return done
-        last = self.commit_at()
         by = self._partitioning(last)
         if mode == "ReplacePartitions" and not by:
             raise ValueError("replace_partitions needs a partitioned table")
@@ -232,7 +268,7 @@ class VersionedTable:
                 "numFiles": files,
                 "numOutputBytes": size,
             },
-            batch_id=batch_id,
+            batches=_batches(last, batch_id, version),
             schema=schema,
             floor=floor,
             partition_by=by,
@@ -278,10 +314,10 @@ class VersionedTable:
     def _mutate(
         self, operation, condition, hit: Column, rewrite, batch_id, timestamp, assigned=()
     ) -> Commit | None:
-        done = self._committed(batch_id)
+        last = self.commit_at()
+        done = self._committed(last, batch_id)
         if done:
             return done
-        last = self.commit_at()
         if last is None:
             raise ValueError(f"no table at {self.path}")
         by = self._partitioning(last)
@@ -337,7 +373,7 @@ class VersionedTable:
                 "numRemovedFiles": removed["files"],
                 "numRemovedBytes": removed["bytes"],
             },
-            batch_id=batch_id,
+            batches=_batches(last, batch_id, version),
             schema=last.schema,
             floor={} if touched is None else {**last.partition_floor, **dict.fromkeys(touched, version)},
             partition_by=by,
@@ -345,12 +381,10 @@ class VersionedTable:
 
     # -- helpers -----------------------------------------------------------------
 
-    def _committed(self, batch_id: str | None) -> Commit | None:
-        commits = self.commits() if batch_id else None
-        if commits is None:
-            return None
-        row = commits.where(F.col("batch_id") == batch_id).limit(1).collect()
-        return Commit(**row[0].asDict()) if row else None
+    def _committed(self, last: Commit | None, batch_id: str | None) -> Commit | None:
+        """The commit of a batch, if the batch was its writer's last one."""
+        version = last.batches.get(batch_id) if last and batch_id else None
+        return None if version is None else self.commit_at(version)
 
     def _partitioning(self, last: Commit | None) -> tuple[str, ...]:
         """The table's own partition columns; the caller's for a new table."""
@@ -392,10 +426,25 @@ class VersionedTable:
             **fields,
         )
         row = {name: getattr(commit, name) for name in COMMIT_SCHEMA.names}
-        one_row(self.spark, COMMIT_SCHEMA, row).write.mode("append").parquet(f"{self.path}/commits")
+        one_row(self.spark, COMMIT_SCHEMA, row).write.mode("overwrite").parquet(self._commit_path(commit.version))
+        self._known = commit.version
         return commit
 
 
+def _newest(rows: DataFrame) -> Commit | None:
+    row = rows.orderBy(F.desc("version")).limit(1).collect()
+    return Commit(**row[0].asDict()) if row else None
+
+
+def _batches(last: Commit | None, batch_id: str | None, version: int) -> dict[str, int]:
+    """The last batch of each writer and its version, after this commit."""
+    known = dict(last.batches) if last else {}
+    if batch_id is None:
+        return known
+    writer = batch_id.rpartition("_")[0]
+    return {b: v for b, v in known.items() if b.rpartition("_")[0] != writer} | {batch_id: version}
+
+
 def _matches(condition: str) -> Column:
     return F.coalesce(F.expr(condition), F.lit(False))
 

@@ -87,5 +87,6 @@ def test_new_checkpoint_is_a_new_query(spark, layout, drop):
             return f"{self.base}/second/{query}"
 
     finish(start_ingest(spark, PEOPLE, Other(layout.base)))
-    batches = {r.batch_id for r in layer_tables(spark, PEOPLE, layout)["bronze"].commits().collect()}
-    assert len(batches) == 2 and all(b.endswith("_0") and "None" not in b for b in batches)
+    batches = layer_tables(spark, PEOPLE, layout)["bronze"].commit_at().batches
+    assert sorted(batches.values()) == [0, 1]
+    assert all(b.endswith("_0") and "None" not in b for b in batches)

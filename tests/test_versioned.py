@@ -171,6 +171,34 @@ def test_batch_is_committed_once(spark, table):
     assert table.read().count() == 5
 
 
+def test_batches_of_two_writers(spark, table):
+    for batch_id in ("a_1", "b_1", "a_2", "a_2", "b_1", "b_2"):
+        table.append(people(spark, 0, 1), batch_id=batch_id)
+    assert table.append(people(spark, 0, 1), batch_id="a_2").version == 2
+    assert table.commit_at().batches == {"a_2": 2, "b_2": 3}
+    table.update("id = 0", {"age": "7"}, batch_id="c_1")
+    assert table.update("id = 0", {"age": "8"}, batch_id="c_1").version == 4
+    assert {r.age for r in table.read().collect()} == {7}
+
+
+def test_latest_commit_is_found_without_listing(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for version in range(21):
+        table.append(people(spark, version, version + 1))
+        fresh = VersionedTable(spark, table.path)
+        looks = []
+        has_commit = fresh._has_commit
+        fresh._has_commit = lambda v: looks.append(v) or has_commit(v)
+        assert fresh.commit_at().version == version
+        assert len(looks) <= 11
+    assert table.read().count() == 21
+    # A writer that died while writing its commit row left a folder without rows.
+    (tmp_path / "t" / "commits" / "commit=21" / "_temporary").mkdir(parents=True)
+    assert VersionedTable(spark, table.path).commit_at().version == 20
+    assert table.append(people(spark, 21, 22)).version == 21
+    assert VersionedTable(spark, table.path).read().count() == 22
+
+
 def test_uncommitted_write_is_invisible_and_replaced(spark, table):
     table.append(people(spark, 0, 5))
     people(spark, 0, 1000).write.parquet(f"{table.path}/data/commit_version=1")
