@@ -37,7 +37,7 @@ row = st.tuples(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=st.lists(row, min_size=1, max_size=40))
 def test_dedup_against_brute_force(spark, data):
     def nulls_first(r):
