@@ -61,14 +61,13 @@ def commit_history(actions: DataFrame) -> DataFrame:
 def _file_actions(actions: DataFrame) -> DataFrame:
     """One row per add or remove with its file, size and row count."""
     added = F.col("add").isNotNull()
-    stats = F.from_json("add.stats", STATS_SCHEMA)
     return actions.where("add IS NOT NULL OR remove IS NOT NULL").select(
         "version",
         added.alias("is_add"),
         F.when(added, F.col("add.path")).otherwise(F.col("remove.path")).alias("path"),
         F.col("add.partitionValues").alias("partition_values"),
         F.col("add.size").alias("size_bytes"),
-        stats.alias("stats"),
+        F.col("add.stats").alias("stats"),
     )
 
 
@@ -87,7 +86,13 @@ def live_files(actions: DataFrame) -> DataFrame:
         .groupBy("path")
         .agg(last.alias("last"))
         .where("last.is_add")
-        .select("path", "last.version", "last.partition_values", "last.size_bytes", "last.stats")
+        .select(
+            "path",
+            "last.version",
+            "last.partition_values",
+            "last.size_bytes",
+            F.from_json("last.stats", STATS_SCHEMA).alias("stats"),
+        )
     )
 
 
@@ -106,31 +111,31 @@ def replay(actions: DataFrame) -> DataFrame:
     """Files, rows and bytes added, removed and live after each version.
 
     Each action changes the table by its file's new size minus the file's size
-    before, so a remove needs no row count of its own. The running sum goes over
-    one row per version.
+    before, so a remove needs no row count of its own. The running sum is the one
+    step in a single task: it goes over one row of ten numbers per version, some
+    80 MB for a million commits, whatever the size of the table.
     """
     earlier = Window.partitionBy("path").orderBy("version", "is_add")
+    records = F.from_json("stats", "numRecords bigint")["numRecords"]
     size = {
         "files": F.col("is_add").cast("bigint"),
-        "rows": F.when(F.col("is_add"), F.coalesce("stats.numRecords", F.lit(0))).otherwise(0).cast("bigint"),
+        "rows": F.when(F.col("is_add"), F.coalesce(records, F.lit(0))).otherwise(0).cast("bigint"),
         "bytes": F.when(F.col("is_add"), F.coalesce("size_bytes", F.lit(0))).otherwise(0).cast("bigint"),
     }
     after = _file_actions(actions).select("version", "is_add", "path", *[c.alias(n) for n, c in size.items()])
     change = after.select(
         "version", *[(F.col(n) - F.coalesce(F.lag(n).over(earlier), F.lit(0))).alias(n) for n in size]
     )
-    per_version = change.groupBy("version").agg(
-        *[F.sum(F.greatest(F.col(n), F.lit(0))).alias(f"added_{n}") for n in size],
-        *[F.sum(F.greatest(-F.col(n), F.lit(0))).alias(f"removed_{n}") for n in size],
-    )
     # Commits without file actions still are versions of the table.
-    versions = actions.select("version").distinct()
-    zeros = [F.lit(0).cast("bigint").alias(c) for c in per_version.columns if c != "version"]
-    complete = (
-        per_version.unionByName(versions.select("version", *zeros))
+    no_change = actions.select("version", *[F.lit(0).cast("bigint").alias(n) for n in size])
+    per_version = (
+        change.unionByName(no_change)
         .groupBy("version")
-        .agg(*[F.sum(c).alias(c) for c in per_version.columns if c != "version"])
+        .agg(
+            *[F.sum(F.greatest(F.col(n), F.lit(0))).alias(f"added_{n}") for n in size],
+            *[F.sum(F.greatest(-F.col(n), F.lit(0))).alias(f"removed_{n}") for n in size],
+        )
     )
     running = Window.orderBy("version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     live = [F.sum(F.col(f"added_{n}") - F.col(f"removed_{n}")).over(running).alias(f"live_{n}") for n in size]
-    return complete.select("*", *live)
+    return per_version.select("*", *live)

@@ -4,6 +4,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from oreworks.operators import datagen
 from oreworks.operators.monitor import RUN_SCHEMA, read_incidents
@@ -11,7 +12,7 @@ from oreworks.operators.quality import metrics_schema
 from oreworks.plans import medallion
 from oreworks.plans.medallion import layer_tables, run_medallion
 from oreworks.sources.rowlog import read_rows
-from oreworks.spec import PEOPLE
+from oreworks.spec import PEOPLE, Rule, TableSpec
 
 from .conftest import CSV_ROWS, JSON_ROWS
 
@@ -146,3 +147,35 @@ def test_conflicting_duplicates_give_the_same_silver_every_time(spark, layout):
         seen.append(sorted(tuple(r) for r in silver.select("id", "name", "age").collect()))
     assert seen[0] == seen[1]
     assert len(seen[0]) == 3000
+
+
+def test_another_table(spark, layout, drop):
+    """Two-column key, two blocking rules, other names and measures."""
+    spec = TableSpec(
+        schema=StructType([StructField("shop", StringType()), StructField("day", IntegerType()), StructField("sold", DoubleType())]),
+        key=("shop", "day"),
+        rules=(
+            Rule("no_shop", "shop IS NULL", "No shop", max_ratio=0.5),
+            Rule("negative", "sold < 0", "Negative", max_ratio=0.25),
+        ),
+        fill={"sold": 0.0, "shop": "?"},
+        order_by=("sold",),
+        measures={"best": "max(sold)", "shops": "count(distinct shop)"},
+        duplicate_metric="repeats",
+        time_column="loaded_at",
+        file_column="origin",
+        date_column="loaded_on",
+    )
+    drop("a.csv", "shop,day,sold\na,1,5\na,1,4\na,2,\n,1,7\n,1,7\nb,1,-1\n")
+    result = run_medallion(spark, spec, layout, at=NOON)
+    assert dict(result.metrics) == {"total_rows": 6, "no_shop": 2, "negative": 1, "repeats": 2}
+    tables = layer_tables(spark, spec, layout)
+    silver = tables["silver"].read()
+    assert silver.columns == ["shop", "day", "sold", "origin", "loaded_at", "loaded_on"]
+    got = sorted(tuple(r) for r in silver.select("shop", "day", "sold").collect())
+    assert got == [("?", 1, 7.0), ("a", 1, 4.0), ("a", 2, 0.0), ("b", 1, -1.0)]
+    gold = tables["gold"].read().first()
+    assert (str(gold.loaded_on), gold.best, gold.shops) == ("2024-03-01", 7.0, 3)
+
+    drop("b.csv", "shop,day,sold\nc,1,-5\nc,2,-5\n")
+    assert run_medallion(spark, spec, layout, at=NOON).status == "halted"
