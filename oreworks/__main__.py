@@ -68,10 +68,10 @@ def main(argv: list[str] | None = None) -> int:
         )
         query.awaitTermination()
     elif args.command == "counts":
-        marts.layer_counts({name: table.read() for name, table in tables.items()}).show()
+        marts.layer_counts(spark, {name: table.read() for name, table in tables.items()}).show()
     elif args.command == "status":
         runs = read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA)
-        monitor.run_kpis(runs, tables["silver"].read(), spark).show()
+        monitor.run_kpis(spark, runs, tables["silver"].read()).show()
         metrics = read_rows(spark, layout.dq_metrics, metrics_schema(PEOPLE))
         if metrics is not None:
             latest_metrics(metrics).show(truncate=False)

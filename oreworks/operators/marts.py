@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oreworks.spec import TableSpec
@@ -25,25 +25,24 @@ def gold_trend(gold: DataFrame, spec: TableSpec, measure: str = "average_age") -
     return gold.select(spec.date_column, measure).orderBy(spec.date_column)
 
 
-def layer_counts(layers: Mapping[str, DataFrame | None]) -> DataFrame:
-    """Row count per layer; an absent layer counts 0. Needs at least one present layer."""
-    present = {name: df for name, df in layers.items() if df is not None}
-    if not present:
-        raise ValueError("no layer exists")
+def layer_counts(spark: SparkSession, layers: Mapping[str, DataFrame | None]) -> DataFrame:
+    """Row count per layer; an absent layer counts 0."""
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("layer"), "row_count")
-        for name, df in present.items()
+        (spark.range(0) if df is None else df)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(name).alias("layer"), "row_count")
+        for name, df in layers.items()
     ]
-    spark = next(iter(present.values())).sparkSession
-    absent = [name for name, df in layers.items() if df is None]
-    counts += [spark.range(1).select(F.lit(n).alias("layer"), F.lit(0).cast("bigint").alias("row_count")) for n in absent]
     return reduce(DataFrame.unionByName, counts)
 
 
-def layer_funnel(bronze: DataFrame | None, silver: DataFrame | None, gold: DataFrame | None) -> DataFrame:
+def layer_funnel(
+    spark: SparkSession, bronze: DataFrame | None, silver: DataFrame | None, gold: DataFrame | None
+) -> DataFrame:
     """(stage, rows) of the three layers."""
     layers = {"bronze": bronze, "silver": silver, "gold": gold}
-    return layer_counts({FUNNEL_STAGES[name]: df for name, df in layers.items()}).withColumnRenamed("layer", "stage")
+    stages = {FUNNEL_STAGES[name]: df for name, df in layers.items()}
+    return layer_counts(spark, stages).withColumnRenamed("layer", "stage")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

@@ -79,19 +79,14 @@ def record_run(
     append_rows(one_row(spark, RUN_SCHEMA, row), path, record_id)
 
 
-def run_kpis(runs: DataFrame | None, silver: DataFrame | None, spark: SparkSession) -> DataFrame:
+def run_kpis(spark: SparkSession, runs: DataFrame | None, silver: DataFrame | None) -> DataFrame:
     """One row: last run's duration as text (``0.00`` without runs), silver rows as number and text."""
-    none = F.lit(None).cast("double")
-    last = (
-        spark.range(1).select(none.alias("duration_s"))
-        if runs is None
-        else runs.agg(F.max_by("duration_s", F.struct("epoch_s", "duration_s")).alias("duration_s"))
-    )
+    runs = spark.createDataFrame([], RUN_SCHEMA) if runs is None else runs
+    silver = spark.range(0) if silver is None else silver
+    last = runs.agg(F.max_by("duration_s", F.struct("epoch_s", "duration_s")).alias("duration_s"))
+    rows = silver.agg(F.count(F.lit(1)).alias("n"))
     # Two one-row aggregates side by side: a union summed up, no join needed.
-    rows = spark.range(1).select(F.lit(0).cast("bigint").alias("n")) if silver is None else silver.agg(F.count(F.lit(1)).alias("n"))
-    both = last.select("duration_s", F.lit(0).cast("bigint").alias("n")).unionByName(
-        rows.select(none.alias("duration_s"), "n")
-    )
+    both = last.unionByName(rows, allowMissingColumns=True)
     return both.agg(
         two_decimals(F.coalesce(F.max("duration_s"), F.lit(0.0))).alias("last_run"),
         F.sum("n").alias("silver_rows"),

@@ -276,12 +276,12 @@ def gold_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def layer_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _layers(spark, sf_dir, "layer_counts")
-    return marts.layer_counts({name: table.read() for name, table in tables.items()})
+    return marts.layer_counts(spark, {name: table.read() for name, table in tables.items()})
 
 
 def layer_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _layers(spark, sf_dir, "layer_funnel")
-    return marts.layer_funnel(**{name: table.read() for name, table in tables.items()})
+    return marts.layer_funnel(spark, **{name: table.read() for name, table in tables.items()})
 
 
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +305,7 @@ def run_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("double").alias("epoch_s"), F.col("value").alias("duration_s")
     )
     append_rows(runs, path)
-    return monitor.run_kpis(read_rows(spark, path, monitor.RUN_SCHEMA), silver(spark, sf_dir), spark)
+    return monitor.run_kpis(spark, read_rows(spark, path, monitor.RUN_SCHEMA), silver(spark, sf_dir))
 
 
 # -- versions ----------------------------------------------------------------------

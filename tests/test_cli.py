@@ -11,11 +11,12 @@ def test_commands(spark, layout, drop, capsys):
         code = main([args[0], "--base", layout.base, *args[1:]])
         return code, capsys.readouterr().out
 
+    assert "silver|        0" in run("counts")[1] and "0.00" in run("status")[1]
     drop("a.csv", CSV_ROWS)
     code, out = run("run")
     assert code == 0 and "succeeded" in out
     assert "silver|        5" in run("counts")[1]
-    assert "0 " not in run("status")[0:1]
+    assert "duplicate_ids" in run("status")[1]
     assert "a.csv" in run("profile")[1]
     run("update", "--where", "id = 14", "--set", "age=age + 1", "name=upper(name)")
     assert "UPDATE" in run("history")[1]

@@ -22,7 +22,7 @@ def test_gold_and_trend(spark):
 
 
 def test_absent_layers_count_zero(spark):
-    funnel = marts.layer_funnel(spark.range(5), spark.range(3), None)
+    funnel = marts.layer_funnel(spark, spark.range(5), spark.range(3), None)
     assert {r.stage: r.row_count for r in funnel.collect()} == {
         "Bronze (Raw)": 5,
         "Silver (Cleaned)": 3,

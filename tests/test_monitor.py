@@ -74,12 +74,12 @@ def test_datetimes_without_zone_are_local(spark, monkeypatch):
 
 
 def test_kpis(spark, layout):
-    none = monitor.run_kpis(read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA), None, spark).first()
+    none = monitor.run_kpis(spark, read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA), None).first()
     assert tuple(none) == ("0.00", 0, "0")
     monitor.record_run(spark, layout.run_metrics, 200.0, 3.14159)
     monitor.record_run(spark, layout.run_metrics, 100.0, 99.0)
     runs = read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA)
-    assert tuple(monitor.run_kpis(runs, spark.range(12345), spark).first()) == ("3.14", 12345, "12,345")
+    assert tuple(monitor.run_kpis(spark, runs, spark.range(12345)).first()) == ("3.14", 12345, "12,345")
 
 
 def test_file_profile(spark, tmp_path):
