@@ -233,9 +233,10 @@ class VersionedTable:
         """Write one version.
 
         ``batch_id`` (``<writer>_<number>``) makes the write idempotent: the last
-        batch of a writer, when it is committed, is not written again. ``rebalance`` evens out file sizes per partition
-        (splitting a hot one) for the price of a shuffle; leave it off when a
-        batch lands in one partition anyway.
+        batch of a writer, when it is committed, is not written again.
+        ``rebalance`` evens out file sizes per partition (splitting a hot one) for
+        the price of a shuffle; leave it off when a batch lands in one partition
+        anyway.
         """
         last = self.commit_at()
         done = self._committed(last, batch_id)
@@ -255,7 +256,12 @@ class VersionedTable:
         if last and mode != "Overwrite":
             base, floor = last.base_version, dict(last.partition_floor)
         if last and mode == "ReplacePartitions":
-            floor.update(dict.fromkeys(self._keys_of_version(version, schema, by), version))
+            keys = self._keys_of_version(version, schema, by)
+            if keys is None:
+                self._carry_over(last, version, schema, by)
+                base, floor = version, {}
+            else:
+                floor.update(dict.fromkeys(keys, version))
         files, size = self._written(version, schema, by)
         return self._commit(
             version=version,
@@ -329,7 +335,7 @@ class VersionedTable:
             # Rewrite only partitions that hold a match. The keys collected here are
             # directory names, at most MAX_PARTITION_REWRITES + 1 of them.
             keys = (
-                table.where(hit)
+                table.where(condition)
                 .select(_partition_key(by).alias("key"))
                 .distinct()
                 .limit(MAX_PARTITION_REWRITES + 1)
@@ -339,7 +345,7 @@ class VersionedTable:
                 return None
             if len(keys) <= MAX_PARTITION_REWRITES:
                 touched = [k.key for k in keys]
-        elif table.where(hit).isEmpty():
+        elif table.where(condition).isEmpty():
             return None
 
         def within(df: DataFrame) -> DataFrame:
@@ -408,13 +414,18 @@ class VersionedTable:
         row = _files_and_bytes(self._version_files(version, schema, by))
         return row["files"], row["bytes"]
 
-    def _keys_of_version(self, version: int, schema: T.StructType, by: Sequence[str]) -> list[str]:
-        """Partition keys of a written version, from its file paths."""
+    def _keys_of_version(self, version: int, schema: T.StructType, by: Sequence[str]) -> list[str] | None:
+        """Partition keys of a written version, from its file paths; None when there are too many."""
         keys = self._version_files(version, schema, by).select(_partition_key(by).alias("key"))
         rows = keys.distinct().limit(MAX_PARTITION_REWRITES + 1).collect()
-        if len(rows) > MAX_PARTITION_REWRITES:
-            raise ValueError(f"more than {MAX_PARTITION_REWRITES} partitions in one replace; use overwrite")
-        return [r.key for r in rows]
+        return None if len(rows) > MAX_PARTITION_REWRITES else [r.key for r in rows]
+
+    def _carry_over(self, last: Commit, version: int, schema: T.StructType, by: Sequence[str]) -> None:
+        """Make a version whole: add the older rows of all partitions it does not hold."""
+        new = self._version_files(version, schema, by).select(_partition_key(by).alias("_key")).distinct()
+        old = self._scan(last).drop(_VERSION).withColumn("_key", _partition_key(by))
+        kept = old.join(new, "_key", "left_anti").drop("_key")
+        kept.write.mode("append").partitionBy(*by).parquet(f"{self.path}/data/{_VERSION}={version}")
 
     def _commit(self, *, schema: T.StructType, floor, timestamp, operation_metrics, partition_by, **fields) -> Commit:
         commit = Commit(

@@ -113,6 +113,12 @@ def test_too_many_touched_partitions_rewrite_the_table(spark, tmp_path, monkeypa
     done = table.update("id >= 0", {"age": "1"})
     assert done.base_version == 1
     assert table.read().where("age = 1").count() == 60
+    new = people(spark, 100, 160).where("day is null or day < date '2024-01-03'")
+    done = table.replace_partitions(new)
+    assert done.base_version == 2 and done.metric("numOutputRows") == new.count()
+    kept = table.read(version=1).where("day = date '2024-01-03'")
+    assert kept.count() > 0
+    assert rows(table.read()) == rows(kept.unionByName(new))
 
 
 def test_replace_partitions(spark, tmp_path):
