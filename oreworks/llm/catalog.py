@@ -4,18 +4,47 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from oreworks.llm import near_dedup
+from oreworks.llm import fingerprints, near_dedup, packing, sharding, token_counts
 from oreworks.llm.common import read_table
+from oreworks.llm.simhash import hex_text
+
+# Tokens a document may have before it counts as over the limit.
+TOKEN_LIMIT = 1024
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op2_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(spark, read_table(spark, sf_dir, "documents"))
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed_documents(read_table(spark, sf_dir, "documents"), file)
+
+
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = fingerprints.fingerprint_digest(read_table(spark, sf_dir, "documents"))
+    return digest.withColumns({c: hex_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")})
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.token_counts(read_table(spark, sf_dir, "documents"), file, TOKEN_LIMIT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_label_propagation_shards": op2_label_propagation_shards,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_document_fingerprints": op6_document_fingerprints,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE_SQL: dict[str, str] = {}

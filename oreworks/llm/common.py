@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from oreworks.session import work_dir
 
@@ -51,7 +50,7 @@ def with_rank(df: DataFrame, *order: str, rank: str = "rank") -> DataFrame:
     for part, n in sorted(tuple(r) for r in placed.groupBy("_part").count().collect()):
         offsets.append((part, start))
         start += n
-    table = spark.createDataFrame(offsets, T.StructType().add("_part", "int").add("_start", "long"))
+    table = spark.createDataFrame(offsets, "_part int, _start long")
     return (
         placed.join(F.broadcast(table), "_part")
         .withColumn(rank, F.col("_start") + F.col("_seq"))
