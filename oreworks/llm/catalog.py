@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import fingerprints, near_dedup, packing, sharding, token_counts
+from oreworks.llm import decontaminate, fingerprints, licenses, near_dedup, packing, sharding, token_counts
 from oreworks.llm.common import read_table
 from oreworks.llm.simhash import hex_text
 
@@ -34,6 +34,14 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.withColumns({c: hex_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(read_table(spark, sf_dir, "documents"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), file, TOKEN_LIMIT)
@@ -44,7 +52,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_label_propagation_shards": op2_label_propagation_shards,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
+    "op8_license_scan": op8_license_scan,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_license_scan": licenses.oracle_sql(),
+}
