@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.llm import decontaminate, fingerprints, licenses, near_dedup, packing, sharding, token_counts
+from oreworks.llm import (
+    decontaminate,
+    fingerprints,
+    licenses,
+    near_dedup,
+    packing,
+    quality_gam,
+    sharding,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from oreworks.llm.common import read_table
 from oreworks.llm.simhash import hex_text
 
@@ -24,6 +35,14 @@ def op2_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(spark, read_table(spark, sf_dir, "documents"))
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged_urls(read_table(spark, sf_dir, "pages"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     file = public_tokenizers.path("word_bpe_49k.json")
     return packing.packed_documents(read_table(spark, sf_dir, "documents"), file)
@@ -34,6 +53,10 @@ def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.withColumns({c: hex_text(F.col(c)) for c in ("fingerprint", "edited_fingerprint")})
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_gam.quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read_table(spark, sf_dir, "documents"))
 
@@ -50,8 +73,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_label_propagation_shards": op2_label_propagation_shards,
+    "op3_url_filter": op3_url_filter,
+    "op4_toxicity": op4_toxicity,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_document_fingerprints": op6_document_fingerprints,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
