@@ -8,12 +8,11 @@ rank within their length. The driver sees the histogram and the plan, never a do
 from __future__ import annotations
 
 import re
-import unicodedata
 from bisect import bisect_left, insort
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
-from itertools import chain
+from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
@@ -22,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from oreworks.llm.common import with_rank
+from oreworks.llm.common import with_rank, written
 
 SEQUENCE = 4096
 # A plan has a few rows per length; one within this bound is broadcast (32 bytes a row), a larger one is joined by shuffle.
@@ -38,71 +37,58 @@ REMEMBERED_CHARS = 48
 class WordEncoder:
     """Ids of whole texts for a vocabulary of lower-case words that drops white space, as little-endian bytes.
 
-    No token of such a vocabulary crosses white space, so each distinct word between blanks is encoded once and remembered.
-    Texts with separators that are no white space to the library are encoded whole.
+    No token of such a vocabulary crosses a piece of the splitting pattern, so each distinct piece is encoded once and remembered.
+    Texts of other than plain characters are split at white space only, and those with separators that
+    are no white space to the library are encoded whole.
     """
 
-    # The vocabulary's own splitting pattern, and characters whose case and form need no context.
-    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|[^\s\w]+|_+")
-    PLAIN = re.compile(r"[!-~¡-©«¬®¯°±´¶·¸»¿-įĲ-ƺƼ-ƿǄ-ɏ]+\Z")
+    # Fixed value: the vocabulary's own splitting pattern, as it applies to plain characters.
+    PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+    # Letters whose case and form need no context, ASCII, and blanks: Latin-1 and Latin Extended but for a few signs.
+    PLAIN = re.compile(r"[\t-\r -~¡-©«¬®¯°±´¶·¸»¿-įĲ-ƺƼ-ƿǄ-ɏ]*\Z")
     SEPARATORS = re.compile("[\x1c-\x1f]")
 
     def __init__(self, tokenizer_file: str):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.specials = re.compile("|".join(map(re.escape, specials)) or "(?!)")
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4") for e in found]
 
-    def _learn_pieces(self, pieces: list[str]) -> None:
-        """Many pieces per call; the last token of a piece bears the end mark."""
-        for at in range(0, len(pieces), 256):
-            some = pieces[at : at + 256]
-            ids = self._ids([" ".join(some)])[0]
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            parts = np.split(ids, cuts[:-1])
-            if len(parts) != len(some):
-                parts = self._ids(some)
-            self.pieces.update(zip(some, (p.tobytes() for p in parts), strict=True))
-
-    def learn(self, words: set[str]) -> None:
-        """Adds the words to those remembered."""
-        if len(self.words) + len(words) > REMEMBERED_WORDS:
-            self.words.clear()
-        if len(self.pieces) > REMEMBERED_WORDS:
-            self.pieces.clear()
-        split, whole = {}, []
-        for word in words:
-            if self.PLAIN.match(word) and "_" not in word and not any(s in word for s in self.specials):
-                split[word] = self.PIECES.findall(unicodedata.normalize("NFC", word).lower())
+    def _learn(self, parts: list[str], plain: bool) -> None:
+        """Plain pieces go many per call, and the last token of a piece bears the end mark."""
+        for at in range(0, len(parts), 256):
+            some = parts[at : at + 256]
+            ids = self._ids([" ".join(some)])[0] if plain else np.empty(0, dtype="<u4")
+            cuts = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            if plain and len(cuts) == len(some) + 1:
+                data = ids.tobytes()
+                found = [data[4 * i : 4 * j] for i, j in pairwise(cuts)]
             else:
-                whole.append(word)
-        self._learn_pieces([p for p in dict.fromkeys(chain.from_iterable(split.values())) if p not in self.pieces])
-        for word, pieces in split.items():
-            self.words[word] = b"".join(map(self.pieces.__getitem__, pieces))
-        if whole:
-            self.words.update(zip(whole, (i.tobytes() for i in self._ids(whole)), strict=True))
+                found = [i.tobytes() for i in self._ids(some)]
+            self.known.update(zip(some, found, strict=True))
 
     def encode(self, text: str) -> bytes:
-        if self.SEPARATORS.search(text):
+        plain = bool(self.PLAIN.match(text)) and not self.specials.search(text)
+        if not plain and self.SEPARATORS.search(text):
             return self._ids([text])[0].tobytes()
-        words = text.split()
-        known = self.words
-        new = {w for w in words if w not in known}
+        parts = self.PIECES.findall(text.lower()) if plain else text.split()
+        new = set(parts).difference(self.known)
+        if new and len(self.known) + len(new) > REMEMBERED_WORDS:
+            self.known.clear()
+            new = set(parts)
         if new:
-            self.learn(new)
-            if any(w not in self.words for w in set(words)):  # the memory was cleared
-                self.learn(set(words))
-        out = b"".join(map(self.words.__getitem__, words))
-        for w in new:
-            if len(w) > REMEMBERED_CHARS:
-                self.words.pop(w, None)
+            self._learn(list(new), plain)
+        out = b"".join(map(self.known.__getitem__, parts))
+        for part in new:
+            if len(part) > REMEMBERED_CHARS:
+                del self.known[part]
         return out
 
 
@@ -230,7 +216,8 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, tokenizer_file: str) -> DataFrame:
-    """Per piece its place, and the checksum of its ids; the ids themselves are not shuffled."""
+    """Per piece its place, and the checksum of its ids; the ids themselves are neither written nor shuffled."""
     pieces = token_pieces(docs, tokenizer_file)
     digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
-    return pack(digest)
+    # Written first: ranking samples its input, which would encode every text twice.
+    return pack(written(digest, "pieces"))
