@@ -21,6 +21,8 @@ RADIUS = 3
 BLOCKS = 5
 # Ids of one bucket travel together, so that a text meets its successor: at most this many distinct ids.
 BUCKET_IDS = 128
+# Up to this many ends of buckets their ids are broadcast (32 bytes each), more are joined by shuffle.
+BROADCAST_ENDS = 1_000_000
 
 
 def text_fingerprints(texts: DataFrame, key: list[str]) -> DataFrame:
@@ -83,32 +85,26 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, bl
     )
 
 
-def _bucketed(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, ..) with bucket and place: unique, in the order of (doc_id, text)."""
-    rows = docs.where("doc_id is not null").select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), F.floor(F.col("doc_id") / BUCKET_IDS).alias("bucket")
-    )
-    inside = Window.partitionBy("bucket").orderBy("doc_id", "text")
-    return rows.withColumns(
-        {
-            "place": F.row_number().over(inside),
-            "next_id": F.lead("doc_id").over(inside),
-            "next_text": F.lead("text").over(inside),
-        }
+def _with_order(docs: DataFrame) -> DataFrame:
+    """Rows with an id: doc_id, text, its hash, bucket. Rows of one id stand in the order of the hash."""
+    text = F.coalesce("text", F.lit(""))
+    return docs.where("doc_id is not null").select(
+        F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text).alias("mix"), F.floor(F.col("doc_id") / BUCKET_IDS).alias("bucket")
     )
 
 
-def _bucket_order(docs: DataFrame) -> DataFrame:
-    """(bucket, next_bucket) of all buckets that hold rows; the last one leads to the first."""
-    buckets = docs.where("doc_id is not null").select(F.floor(F.col("doc_id") / BUCKET_IDS).alias("bucket")).distinct()
+def _bucket_ends(rows: DataFrame) -> DataFrame:
+    """Last row of each bucket that holds rows and the first of the next one; the last bucket leads to the first.
+
+    Made of ids and hashes alone.
+    """
+    here = F.struct("doc_id", "mix")
+    buckets = rows.groupBy("bucket").agg(F.min(here).alias("first"), F.max(here).alias("last"), F.count(F.lit(1)).alias("n"))
     ranked = with_rank(buckets, "bucket")
-    ends = ranked.agg(F.count(F.lit(1)).alias("n"))
-    following = ranked.select(F.col("bucket").alias("next_bucket"), F.col("rank").alias("next_rank"))
-    return (
-        ranked.join(F.broadcast(ends))  # one row
-        .withColumn("next_rank", (F.col("rank") + 1) % F.col("n"))
-        .join(following, "next_rank")
-        .select("bucket", "next_bucket")
+    n = ranked.count()
+    following = ranked.select(F.col("rank").alias("next_rank"), F.col("bucket").alias("next_bucket"), F.col("first").alias("next"))
+    return ranked.withColumn("next_rank", (F.col("rank") + 1) % n).join(following, "next_rank").select(
+        "bucket", F.col("n").cast("int").alias("place"), "next_bucket", "last.doc_id", "last.mix", F.col("next.doc_id").alias("next_id"), F.col("next.mix").alias("next_mix")
     )
 
 
@@ -116,26 +112,35 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text, ..) -> bucket, place, doc_id, text, edited, next_bucket, next_place, one row per row with an id.
 
     ``edited``: the last floor(n/4) code points of the text give way to the first as many (or all) of the text
-    of the next document in the order of (doc_id, text); the last one is followed by the first, a lone one by itself. NULL texts are empty.
+    of the next document in the order of doc_id; the last one is followed by the first, a lone one by itself. NULL texts are empty,
+    rows of one id follow each other. (bucket, place) is unique.
 
-    Texts are shuffled once, by bucket of ids; only the last and first rows of buckets are joined.
+    Texts are shuffled once, by bucket of ids; only the ends of buckets, one in BUCKET_IDS rows where ids are dense, are joined.
     """
-    rows = _bucketed(docs)
+    rows = _with_order(docs)
+    inside = Window.partitionBy("bucket").orderBy("doc_id", "mix")
+    placed = rows.withColumns(
+        {
+            "place": F.row_number().over(inside),
+            "next_id": F.lead("doc_id").over(inside),
+            "next_text": F.lead("text").over(inside),
+        }
+    )
+    placed = placed.where("next_id is not null").withColumns(
+        {"next_bucket": F.col("bucket"), "next_place": F.col("place") + 1}
+    )
+    ends = written(_bucket_ends(rows.select("doc_id", "mix", "bucket")), "bucket_ends")
+    wanted = ends.select("doc_id", "mix").union(ends.select("next_id", "next_mix")).distinct()
+    if ends.count() <= BROADCAST_ENDS:
+        wanted = F.broadcast(wanted)
+    texts = rows.select("doc_id", "mix", "text").join(wanted, ["doc_id", "mix"])
+    texts = written(texts.dropDuplicates(["doc_id", "mix"]), "end_texts")
+    nexts = texts.select(F.col("doc_id").alias("next_id"), F.col("mix").alias("next_mix"), F.col("text").alias("next_text"))
+    ends = ends.join(texts, ["doc_id", "mix"]).join(nexts, ["next_id", "next_mix"]).withColumn("next_place", F.lit(1))
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - length(text) div 4)"), F.col("next_text").substr(F.lit(1), quarter))
     out = ["bucket", "place", "doc_id", "text", edited.alias("edited"), "next_bucket", "next_place"]
-    inside = rows.where("next_id is not null").withColumns(
-        {"next_bucket": F.col("bucket"), "next_place": F.col("place") + 1}
-    )
-    firsts = rows.where("place = 1").select(F.col("bucket").alias("next_bucket"), F.col("text").alias("next_text"))
-    ends = (
-        rows.where("next_id is null")
-        .drop("next_text")
-        .join(_bucket_order(docs), "bucket")
-        .join(firsts, "next_bucket")
-        .withColumn("next_place", F.lit(1))
-    )
-    return inside.select(*out).unionByName(ends.select(*out))
+    return placed.select(*out).unionByName(ends.select(*out))
 
 
 def fingerprint_digest(docs: DataFrame) -> DataFrame:
