@@ -6,47 +6,62 @@ import pytest
 
 from oreworks.operators.monitor import read_incidents
 from oreworks.plans.medallion import layer_tables
+from oreworks.sources import versioned
 from oreworks.spec import PEOPLE, Layout
-from oreworks.streaming.files import start_ingest, start_medallion
+from oreworks.streaming.files import Arrivals, ingest_arrivals, medallion_arrivals
 
 from .conftest import CSV_ROWS, JSON_ROWS
 
 
-def finish(query):
-    assert query.awaitTermination(120)
-
-
 def people(df):
     return sorted((tuple(r) for r in df.select("id", "name", "age").collect()), key=repr)
 
 
+def ids(df):
+    return sorted(r.id for r in df.select("id").collect())
+
+
 def test_files_are_taken_once_over_restarts(spark, layout, drop):
     bronze = layer_tables(spark, PEOPLE, layout)["bronze"]
     drop("a.csv", CSV_ROWS)
     drop("a.json", JSON_ROWS)
-    finish(start_ingest(spark, PEOPLE, layout, archive=True))
-    assert bronze.read().count() == 10
-    finish(start_ingest(spark, PEOPLE, layout, archive=True))
-    assert bronze.read().count() == 10 and bronze.commit_at().version == 0
+    assert ingest_arrivals(spark, PEOPLE, layout) == 1
+    assert bronze.read().count() == 15
+    assert ingest_arrivals(spark, PEOPLE, layout) == 0
+    assert bronze.commit_at().version == 0
     drop("b.csv", CSV_ROWS)
-    finish(start_ingest(spark, PEOPLE, layout, archive=True))
+    assert ingest_arrivals(spark, PEOPLE, layout, archive=True) == 1
     drop("c.json", JSON_ROWS)
-    finish(start_ingest(spark, PEOPLE, layout, archive=True))
-    assert bronze.read().count() == 20
-    # Taken files move away some batches later.
-    assert os.path.isdir(layout.archive)
+    assert ingest_arrivals(spark, PEOPLE, layout, archive=True) == 1
+    assert bronze.read().count() == 30
+    moved = sorted(name for _, _, names in os.walk(layout.archive) for name in names if not name.endswith(".crc"))
+    assert moved == ["b.csv", "c.json"]
     files = {r.source_file.rsplit("/", 1)[1] for r in bronze.read().select("source_file").distinct().collect()}
     assert files == {"a.csv", "a.json", "b.csv", "c.json"}
 
 
+@pytest.mark.parametrize("archive", [False, True])
+def test_a_used_name_is_a_new_arrival(spark, layout, drop, archive):
+    bronze = layer_tables(spark, PEOPLE, layout)["bronze"]
+    for n, at in ((1, None), (2, 1_000_000_000), (3, None)):
+        drop("raw_data.csv", f"id,name,age\n{n},n,{n}\n", at)
+        assert ingest_arrivals(spark, PEOPLE, layout, archive=archive) == 1
+        assert ingest_arrivals(spark, PEOPLE, layout, archive=archive) == 0
+    assert ids(bronze.read()) == [1, 2, 3]
+
+
+def test_old_files_are_taken(spark, layout, drop):
+    drop("a.csv", "id,name,age\n1,a,1\n")
+    drop("b.csv", "id,name,age\n2,b,2\n", 1_000_000)
+    ingest_arrivals(spark, PEOPLE, layout)
+    assert ids(layer_tables(spark, PEOPLE, layout)["bronze"].read()) == [1, 2]
+
+
 def test_bounded_batches_equal_one_batch(spark, layout, drop):
     for i in range(3):
         drop(f"{i}.csv", f"id,name,age\n{i},n{i},{20 + i}\n{i},n{i},{20 + i}\n")
     results = []
-    query = start_medallion(
-        spark, PEOPLE, layout, silver_mode="append", max_files=1, on_result=results.append
-    )
-    finish(query)
+    assert medallion_arrivals(spark, PEOPLE, layout, silver_mode="append", max_files=1, on_result=results.append) == 3
     tables = layer_tables(spark, PEOPLE, layout)
     assert [r.silver_rows for r in results] == [1, 1, 1]
     assert people(tables["silver"].read()) == [(0, "n0", 20), (1, "n1", 21), (2, "n2", 22)]
@@ -56,37 +71,63 @@ def test_bounded_batches_equal_one_batch(spark, layout, drop):
 def test_halted_batch_is_taken_and_logged(spark, layout, drop):
     drop("a.json", '{"name": "x"}\n')
     results = []
-    finish(start_medallion(spark, PEOPLE, layout, on_result=results.append))
+    medallion_arrivals(spark, PEOPLE, layout, on_result=results.append)
     assert [r.status for r in results] == ["halted"]
-    finish(start_medallion(spark, PEOPLE, layout, on_result=results.append))
+    medallion_arrivals(spark, PEOPLE, layout, on_result=results.append)
     assert len(results) == 1
     assert read_incidents(spark, layout.trace).first()["status"] == "CRITICAL"
 
 
-def test_failed_batch_is_logged_and_tried_again(spark, layout, drop):
+def test_failed_batch_is_tried_again_over_the_same_files(spark, layout, drop):
     drop("a.csv", CSV_ROWS)
 
     def fail(_):
         raise RuntimeError("after the layers")
 
-    with pytest.raises(Exception):
-        start_medallion(spark, PEOPLE, layout, on_result=fail).awaitTermination(120)
+    with pytest.raises(RuntimeError):
+        medallion_arrivals(spark, PEOPLE, layout, on_result=fail)
+    drop("b.csv", "id,name,age\n1,a,1\n")
     results = []
-    finish(start_medallion(spark, PEOPLE, layout, on_result=results.append))
-    assert [r.silver_rows for r in results] == [5]
-    assert layer_tables(spark, PEOPLE, layout)["bronze"].commit_at().version == 0
+    assert medallion_arrivals(spark, PEOPLE, layout, on_result=results.append) == 2
+    assert [r.silver_rows for r in results] == [6, 1]
+    assert layer_tables(spark, PEOPLE, layout)["bronze"].commit_at().version == 1
+
+
+def test_append_that_died_before_its_mark_is_not_doubled(spark, layout, drop, monkeypatch):
+    drop("a.csv", CSV_ROWS)
+    with monkeypatch.context() as m:
+        commit = versioned.VersionedTable.append
+
+        def dies(self, *args, **how):
+            commit(self, *args, **how)
+            raise RuntimeError("lost")
+
+        m.setattr(versioned.VersionedTable, "append", dies)
+        with pytest.raises(RuntimeError):
+            ingest_arrivals(spark, PEOPLE, layout)
+    assert ingest_arrivals(spark, PEOPLE, layout) == 1
+    assert layer_tables(spark, PEOPLE, layout)["bronze"].read().count() == 9
+
+
+def test_taken_log_forgets_files_that_have_gone(spark, layout, drop):
+    for i in range(3):
+        drop("x.csv", f"id,name,age\n{i},n,1\n")
+        ingest_arrivals(spark, PEOPLE, layout, archive=True)
+    arrivals = Arrivals(spark, layout.input, layout.checkpoint("ingest"))
+    assert arrivals._planned() == [2]
+    assert arrivals._taken(2).count() == 1
 
 
 def test_new_checkpoint_is_a_new_query(spark, layout, drop):
     """Batch numbers start again; the batches are not taken for those already committed."""
     drop("a.csv", CSV_ROWS)
-    finish(start_ingest(spark, PEOPLE, layout))
+    ingest_arrivals(spark, PEOPLE, layout)
 
     class Other(Layout):
         def checkpoint(self, query):
             return f"{self.base}/second/{query}"
 
-    finish(start_ingest(spark, PEOPLE, Other(layout.base)))
+    ingest_arrivals(spark, PEOPLE, Other(layout.base))
     batches = layer_tables(spark, PEOPLE, layout)["bronze"].commit_at().batches
     assert sorted(batches.values()) == [0, 1]
     assert all(b.endswith("_0") and "None" not in b for b in batches)
