@@ -9,18 +9,20 @@ Rows are written first and the commit row second, and readers only open the
 versions the latest commit names, so a write that died half-way is never seen;
 the next writer replaces it. A table has one writer at a time.
 
-A commit states its whole table in bounded space: the directories
-``base_version..version``, the schema, for each partition that was ever
-replaced the oldest version still valid for it (``partition_floor``), and the
-last batch of each writer (``batches``). So reading and writing open the latest
-commit only, however many there are. The read itself is one Parquet scan with a
-filter on partition columns, so replaced directories are pruned while planning
-and no file footer is opened for the schema.
+A commit states its whole table: the directories ``base_version..version``, the
+schema, the partitions each version replaced (``replaced``, a partition under the last
+version that did), and the last batch of each writer (``batches``). So reading and
+writing open the latest commit only, however many there are. A commit row grows with the partitions that
+were replaced since the last overwrite, at most all of the table's, never with rows or
+versions; ``compact`` makes it small again. The read itself is one Parquet scan with a filter on
+partition columns, so replaced directories are pruned while planning and no file
+footer is opened for the schema.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -29,8 +31,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreworks.sources.files import if_present
-from oreworks.sources.listing import list_files
+from oreworks.sources.listing import folder_names, list_files, path_exists
 from oreworks.sources.rowlog import one_row
 
 _VERSION = "commit_version"
@@ -46,14 +47,10 @@ COMMIT_SCHEMA = T.StructType(
         T.StructField("batches", T.MapType(T.StringType(), T.LongType())),
         T.StructField("table_schema", T.StringType()),
         T.StructField("partition_by", T.ArrayType(T.StringType())),
-        T.StructField("partition_floor", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("replaced", T.MapType(T.LongType(), T.ArrayType(T.StringType()))),
     ]
 )
 
-# A mutation that touches more partitions than this rewrites the whole table:
-# same result, but the commit row and the read filter stay small.
-MAX_PARTITION_REWRITES = 4096
-
 
 @dataclass(frozen=True)
 class Commit:
@@ -68,7 +65,7 @@ class Commit:
     batches: Mapping[str, int]
     table_schema: str
     partition_by: Sequence[str]
-    partition_floor: Mapping[str, int]
+    replaced: Mapping[int, Sequence[str]]
 
     @property
     def schema(self) -> T.StructType:
@@ -101,7 +98,14 @@ class VersionedTable:
 
     def commits(self) -> DataFrame | None:
         """The commit table, or None when the table does not exist."""
-        return self._commit_rows(f"{self.path}/commits")
+        return self._commit_rows(f"{self.path}/commits") if self._oldest() is not None else None
+
+    def _oldest(self) -> int | None:
+        """The first version that is still there; older commits may have been cleaned away."""
+        if path_exists(self.spark, self._commit_path(0)):
+            return 0
+        names = folder_names(self.spark, f"{self.path}/commits")
+        return min((int(n.partition("=")[2]) for n in names if n.startswith("commit=")), default=None)
 
     def commit_at(self, version: int | None = None, as_of: datetime | None = None) -> Commit | None:
         """The latest commit, the one of a version number, or the latest one up to a time."""
@@ -109,8 +113,7 @@ class VersionedTable:
             rows = self.commits()
             return None if rows is None else _newest(rows.where(F.col("timestamp") <= F.lit(as_of)))
         if version is not None:
-            rows = self._commit_rows(self._commit_path(version))
-            return None if rows is None else _newest(rows)
+            return _newest(self._commit_rows(self._commit_path(version))) if self._has_commit(version) else None
         return self._latest()
 
     def _latest(self) -> Commit | None:
@@ -119,7 +122,10 @@ class VersionedTable:
         Versions have no gaps, so doubling steps upward and then halving between
         the last version that is there and the first that is not will find it.
         """
-        there, step = self._known, 1
+        oldest = self._oldest()
+        if oldest is None:
+            return None
+        there, step = max(self._known, oldest), 1
         while self._has_commit(there + step):
             there += step
             step *= 2
@@ -132,7 +138,7 @@ class VersionedTable:
                 missing = middle
         # Only the topmost path can lack its row, when its writer died at this point.
         for version in (there, there - 1):
-            commit = self.commit_at(version) if version >= 0 else None
+            commit = self.commit_at(version) if version >= oldest else None
             if commit:
                 self._known = commit.version
                 return commit
@@ -141,12 +147,11 @@ class VersionedTable:
     def _commit_path(self, version: int) -> str:
         return f"{self.path}/commits/commit={version}"
 
-    def _commit_rows(self, path: str) -> DataFrame | None:
-        rows = if_present(lambda: self.spark.read.schema(COMMIT_SCHEMA).parquet(path))
-        return None if rows is None else rows.select(*COMMIT_SCHEMA.names)
+    def _commit_rows(self, path: str) -> DataFrame:
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(path).select(*COMMIT_SCHEMA.names)
 
     def _has_commit(self, version: int) -> bool:
-        return self._commit_rows(self._commit_path(version)) is not None
+        return path_exists(self.spark, self._commit_path(version))
 
     def exists(self) -> bool:
         return self.commit_at() is not None
@@ -186,12 +191,11 @@ class VersionedTable:
         return self._live(df, commit).select(*schema.names, _VERSION)
 
     def _live(self, df: DataFrame, commit: Commit) -> DataFrame:
-        """Drop rows of directories a later commit replaced; a filter on partition columns only."""
-        if not commit.partition_floor:
-            return df
-        floor = F.create_map(*[F.lit(x) for pair in commit.partition_floor.items() for x in pair])
-        oldest = F.try_element_at(floor, _partition_key(commit.partition_by))
-        return df.where(F.col(_VERSION) >= F.coalesce(oldest, F.lit(commit.base_version)))
+        """Drop rows of directories a later commit replaced; filters on partition columns only, each a hashed set."""
+        key = _partition_key(commit.partition_by)
+        for version, keys in commit.replaced.items():
+            df = df.where((F.col(_VERSION) >= version) | ~key.isin(list(keys)))
+        return df
 
     def live_files(self, commit: Commit | None = None) -> DataFrame:
         """Path, size and partition of every file of the table; lists files, opens none."""
@@ -252,16 +256,11 @@ class VersionedTable:
         counted, counts = _observe(df, rows=F.count(F.lit(1)))
         self._save(counted, version, by)
 
-        base, floor = version, {}
+        base, replaced = version, {}
         if last and mode != "Overwrite":
-            base, floor = last.base_version, dict(last.partition_floor)
+            base, replaced = last.base_version, last.replaced
         if last and mode == "ReplacePartitions":
-            keys = self._keys_of_version(version, schema, by)
-            if keys is None:
-                self._carry_over(last, version, schema, by)
-                base, floor = version, {}
-            else:
-                floor.update(dict.fromkeys(keys, version))
+            replaced = _replacing(replaced, version, self._keys_of_version(version, schema, by))
         files, size = self._written(version, schema, by)
         return self._commit(
             version=version,
@@ -269,6 +268,7 @@ class VersionedTable:
             timestamp=timestamp,
             operation="WRITE",
             operation_parameters={"mode": mode, "partitionBy": ",".join(by)},
+            # Fixed values, here and in _mutate: operation and metric names that readers of the history look up.
             operation_metrics={
                 "numOutputRows": counts.get["rows"],
                 "numFiles": files,
@@ -276,10 +276,15 @@ class VersionedTable:
             },
             batches=_batches(last, batch_id, version),
             schema=schema,
-            floor=floor,
+            replaced=replaced,
             partition_by=by,
         )
 
+    def compact(self, **how) -> Commit | None:
+        """Write the live rows as one version, so that reads open one directory; None without a table."""
+        last = self.commit_at()
+        return None if last is None else self.overwrite(self.read_commit(last), **how)
+
     def update(
         self,
         condition: str,
@@ -330,44 +335,28 @@ class VersionedTable:
         if set(assigned) & set(by):
             raise ValueError("a partition column cannot be assigned")
         table = self._scan(last)
-        touched = None
-        if by:
-            # Rewrite only partitions that hold a match. The keys collected here are
-            # directory names, at most MAX_PARTITION_REWRITES + 1 of them.
-            keys = (
-                table.where(condition)
-                .select(_partition_key(by).alias("key"))
-                .distinct()
-                .limit(MAX_PARTITION_REWRITES + 1)
-                .collect()
-            )
-            if not keys:
-                return None
-            if len(keys) <= MAX_PARTITION_REWRITES:
-                touched = [k.key for k in keys]
-        elif table.where(condition).isEmpty():
+        # Only partitions that hold a match are rewritten. Collected is one row per such
+        # partition, a directory name and its matches.
+        found = table.where(condition).groupBy(_partition_key(by).alias("key")).agg(F.count(F.lit(1)).alias("n")).collect()
+        if not found:
             return None
+        hits = sum(r.n for r in found)
+        touched = [r.key for r in found]
 
         def within(df: DataFrame) -> DataFrame:
-            return df if touched is None else df.where(_partition_key(by).isin(touched))
+            return df.where(_partition_key(by).isin(touched)) if by else df
 
         version = last.version + 1
         part = within(table).drop(_VERSION)
-        if operation == "UPDATE":
-            counted, counts = _observe(part, hit=F.count_if(hit), kept=F.count_if(~hit))
-            self._save(rewrite(counted), version, by)
-            kept, hits = counts.get["kept"], counts.get["hit"]
-        else:
-            # Counted above the filter: below one that folds to nothing, the counters would go with it.
-            counted, counts = _observe(rewrite(part), kept=F.count(F.lit(1)))
-            self._save(counted, version, by)
-            kept = counts.get["kept"]
-            hits = part.count() - kept
+        # Counted above a delete's filter: below one that folds to nothing, the counter would go with it.
+        counted, counts = _observe(rewrite(part), rows=F.count(F.lit(1)))
+        self._save(counted, version, by)
+        kept = counts.get["rows"] - (hits if operation == "UPDATE" else 0)
         removed = _files_and_bytes(within(self.live_files(last)))
         files, size = self._written(version, last.schema, by)
         return self._commit(
             version=version,
-            base_version=version if touched is None else last.base_version,
+            base_version=last.base_version if by else version,
             timestamp=timestamp,
             operation=operation,
             operation_parameters={"predicate": condition},
@@ -381,7 +370,7 @@ class VersionedTable:
             },
             batches=_batches(last, batch_id, version),
             schema=last.schema,
-            floor={} if touched is None else {**last.partition_floor, **dict.fromkeys(touched, version)},
+            replaced=_replacing(last.replaced, version, touched) if by else {},
             partition_by=by,
         )
 
@@ -389,6 +378,7 @@ class VersionedTable:
 
     def _committed(self, last: Commit | None, batch_id: str | None) -> Commit | None:
         """The commit of a batch, if the batch was its writer's last one."""
+        check_batch_id(batch_id)
         version = last.batches.get(batch_id) if last and batch_id else None
         return None if version is None else self.commit_at(version)
 
@@ -414,26 +404,17 @@ class VersionedTable:
         row = _files_and_bytes(self._version_files(version, schema, by))
         return row["files"], row["bytes"]
 
-    def _keys_of_version(self, version: int, schema: T.StructType, by: Sequence[str]) -> list[str] | None:
-        """Partition keys of a written version, from its file paths; None when there are too many."""
-        keys = self._version_files(version, schema, by).select(_partition_key(by).alias("key"))
-        rows = keys.distinct().limit(MAX_PARTITION_REWRITES + 1).collect()
-        return None if len(rows) > MAX_PARTITION_REWRITES else [r.key for r in rows]
-
-    def _carry_over(self, last: Commit, version: int, schema: T.StructType, by: Sequence[str]) -> None:
-        """Make a version whole: add the older rows of all partitions it does not hold."""
-        new = self._version_files(version, schema, by).select(_partition_key(by).alias("_key")).distinct()
-        old = self._scan(last).drop(_VERSION).withColumn("_key", _partition_key(by))
-        kept = old.join(new, "_key", "left_anti").drop("_key")
-        kept.write.mode("append").partitionBy(*by).parquet(f"{self.path}/data/{_VERSION}={version}")
+    def _keys_of_version(self, version: int, schema: T.StructType, by: Sequence[str]) -> list[str]:
+        """Partition keys of a written version, from its file paths."""
+        files = self._version_files(version, schema, by)
+        return [r.key for r in files.select(_partition_key(by).alias("key")).distinct().collect()]
 
-    def _commit(self, *, schema: T.StructType, floor, timestamp, operation_metrics, partition_by, **fields) -> Commit:
+    def _commit(self, *, schema: T.StructType, timestamp, operation_metrics, partition_by, **fields) -> Commit:
         commit = Commit(
             timestamp=timestamp or datetime.now(timezone.utc),
             operation_metrics={k: str(v) for k, v in operation_metrics.items()},
             table_schema=schema.json(),
             partition_by=list(partition_by),
-            partition_floor=floor,
             **fields,
         )
         row = {name: getattr(commit, name) for name in COMMIT_SCHEMA.names}
@@ -447,6 +428,19 @@ def _newest(rows: DataFrame) -> Commit | None:
     return Commit(**row[0].asDict()) if row else None
 
 
+def _replacing(before: Mapping[int, Sequence[str]], version: int, keys: Sequence[str]) -> dict[int, list[str]]:
+    """Partitions by the version that replaced them last, after ``version`` replaced ``keys``."""
+    new = set(keys)
+    left = {v: [k for k in old if k not in new] for v, old in before.items()}
+    return {v: old for v, old in left.items() if old} | ({version: sorted(new)} if new else {})
+
+
+def check_batch_id(batch_id: str | None) -> None:
+    """A batch id names its writer and its number, so that writers do not push out each other's batches."""
+    if batch_id is not None and not re.fullmatch(r"[\w.-]*[\w.-]_\d+", batch_id):
+        raise ValueError(f"a batch id must look like <writer>_<number>: {batch_id!r}")
+
+
 def _batches(last: Commit | None, batch_id: str | None, version: int) -> dict[str, int]:
     """The last batch of each writer and its version, after this commit."""
     known = dict(last.batches) if last else {}
@@ -461,8 +455,11 @@ def _matches(condition: str) -> Column:
 
 
 def _partition_key(columns: Sequence[str]) -> Column:
-    """One text per partition; a NULL partition value is a key of its own."""
-    return F.to_json(F.struct(*columns))
+    """One text per partition; a NULL partition value is a key of its own.
+
+    Values are cast before they are put into JSON, which would print times to milliseconds only.
+    """
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in columns])) if columns else F.lit("{}")
 
 
 def _path_value(column: str, kind: T.DataType) -> Column:

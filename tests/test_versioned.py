@@ -1,11 +1,11 @@
 from __future__ import annotations
 
+import shutil
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
-from oreworks.sources import versioned
 from oreworks.sources.versioned import VersionedTable
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -106,19 +106,56 @@ def test_mutation_rewrites_only_touched_partitions(spark, tmp_path):
         table.update("id = 4", {"day": "null"})
 
 
-def test_too_many_touched_partitions_rewrite_the_table(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(versioned, "MAX_PARTITION_REWRITES", 2)
-    table = VersionedTable(spark, str(tmp_path / "t"), ["day"])
-    table.overwrite(people(spark, 0, 60))
-    done = table.update("id >= 0", {"age": "1"})
-    assert done.base_version == 1
-    assert table.read().where("age = 1").count() == 60
-    new = people(spark, 100, 160).where("day is null or day < date '2024-01-03'")
-    done = table.replace_partitions(new)
-    assert done.base_version == 2 and done.metric("numOutputRows") == new.count()
-    kept = table.read(version=1).where("day = date '2024-01-03'")
-    assert kept.count() > 0
-    assert rows(table.read()) == rows(kept.unionByName(new))
+def test_many_partitions_commit_like_few(spark, tmp_path):
+    """A mutation or replacement of thousands of partitions keeps the base version and counts as one of ten."""
+    kinds = []
+    for n in (10, 5000):
+        df = spark.range(2 * n).select(F.col("id"), (F.col("id") % n).cast("int").alias("p"), F.lit(0).alias("v"))
+        table = VersionedTable(spark, str(tmp_path / f"t{n}"), ["p"])
+        table.overwrite(df.repartition(2, "p"))
+        done = table.update(f"id < {n}", {"v": "1"})
+        kinds.append((done.base_version, done.metric("numUpdatedRows") == n, done.metric("numCopiedRows") == n))
+        assert len(done.replaced[1]) == n
+        done = table.replace_partitions(df.where("p < 4").withColumn("v", F.lit(2)))
+        kinds[-1] += (done.base_version, len(done.replaced[1]) == n - 4, len(done.replaced[2]))
+        got = {r.v: r["count"] for r in table.read().groupBy("v").count().collect()}
+        assert got == {0: n - 4, 1: n - 4, 2: 8}
+    assert kinds[0] == kinds[1] == (0, True, True, 0, True, 4)
+
+
+def test_partitions_may_differ_in_microseconds(spark, tmp_path):
+    df = spark.range(2).select("id", F.timestamp_micros(F.lit(1704067200000000) + F.col("id")).alias("at"))
+    table = VersionedTable(spark, str(tmp_path / "t"), ["at"])
+    table.overwrite(df)
+    table.replace_partitions(df.where("id = 0").withColumn("id", F.lit(7).cast("long")))
+    assert sorted(r.id for r in table.read().collect()) == [1, 7]
+
+
+def test_table_lives_on_when_its_oldest_commits_are_cleaned_away(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    for lo in range(3):
+        table.overwrite(people(spark, 0, 10 + lo))
+    for version in range(2):
+        shutil.rmtree(tmp_path / "t" / "commits" / f"commit={version}")
+    fresh = VersionedTable(spark, table.path)
+    assert fresh.commit_at().version == 2 and fresh.read().count() == 12
+    assert fresh.append(people(spark, 0, 1)).version == 3
+    assert [r.version for r in fresh.history().collect()] == [3, 2]
+
+
+def test_compact_keeps_the_rows(spark, table):
+    table.append(people(spark, 0, 30))
+    table.append(people(spark, 30, 60))
+    table.delete("age > 40")
+    before = rows(table.read())
+    done = table.compact()
+    assert rows(table.read()) == before and done.base_version == done.version and not done.replaced
+
+
+def test_batch_ids_must_name_writer_and_number(spark, table):
+    for bad in ("b", "b_", "_1", "a b_1"):
+        with pytest.raises(ValueError, match="batch id"):
+            table.append(people(spark, 0, 1), batch_id=bad)
 
 
 def test_replace_partitions(spark, tmp_path):
