@@ -14,7 +14,8 @@ def dedup_by_key(
 ) -> DataFrame:
     """One row per key: the first by ``order_by``, then by the remaining columns.
 
-    Rows with a NULL key form one group. The tie-breaks make the survivor the
+    Rows with a NULL key form one group. A NULL cell comes after any value, so of two rows that are
+    equal otherwise the fuller one stays. The tie-breaks make the survivor the
     same on every run; ``last`` names columns that decide only after all others.
 
     ``row_number() = 1`` lets Spark plan a group limit in front of the shuffle:
@@ -24,7 +25,7 @@ def dedup_by_key(
     ordered = [*order_by]
     ordered += [c for c in df.columns if c not in key and c not in ordered and c not in last]
     ordered += [c for c in last if c not in ordered and c not in key]
-    first = Window.partitionBy(*key).orderBy(*ordered) if ordered else Window.partitionBy(*key).orderBy(*key)
+    first = Window.partitionBy(*key).orderBy(*[F.col(c).asc_nulls_last() for c in ordered or key])
     return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
 
 

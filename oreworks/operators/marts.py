@@ -46,14 +46,14 @@ def layer_funnel(
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Counts over at most ``bins`` equal-width bins between min and max of all non-NULL values.
+    """Counts over at most ``bins`` equal-width bins between min and max of all values but NULL and NaN.
 
     Two scans of one column: the first yields the two bounds, the second groups
     by a bin number, so the shuffle carries at most ``bins`` rows per task.
     """
     value = F.col(column).cast("double")
-    low, high = df.agg(F.min(value), F.max(value)).first()
-    known = df.where(F.col(column).isNotNull())
+    known = df.where(value.isNotNull() & ~F.isnan(value))
+    low, high = known.agg(F.min(value), F.max(value)).first()
     width = (high - low) / bins if low is not None and high > low else 1.0
     start = low if low is not None else 0.0
     # The maximum belongs to the last bin, not to one of its own.

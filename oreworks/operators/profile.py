@@ -5,22 +5,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from oreworks.functions.text import PROFILE_NAME, is_blank
 
+# One cell with the separator in front: quoted, or anything up to the next comma.
+_CELL = r',("(?:[^"]|"")*"[^,]*|[^,]*)'
 
-def profile_rows(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows, exact duplicate rows and empty cells per ``by`` group.
+
+def _profile(rows: DataFrame, by: Sequence[str], row: Sequence[str], blanks: Column) -> DataFrame:
+    """Rows, exact duplicate rows and empty cells per group.
 
     First one row per distinct row and its count (repeats shrink before the
-    shuffle), then sums per file, so one huge file is still spread over all tasks.
+    shuffle), then sums per group, so one huge file is still spread over all tasks.
     """
-    blanks = reduce(lambda a, b: a + b, [is_blank(F.col(c).cast("string")).cast("int") for c in columns])
     return (
-        df.groupBy(*by, *columns)
+        rows.groupBy(*by, *row)
         .agg(F.count(F.lit(1)).alias("copies"))
         .groupBy(*by)
         .agg(
@@ -31,33 +32,46 @@ def profile_rows(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> Da
     )
 
 
-def profile_csv_files(
-    spark: SparkSession, folder: str, columns: Sequence[str], *, multi_line: bool = False
-) -> DataFrame:
-    """Profile every ``*.csv`` below ``folder`` in one job; cells are read as text, the header is skipped.
+def profile_rows(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Profile of typed rows; a row is its ``columns``."""
+    blanks = reduce(lambda a, b: a + b, [is_blank(F.col(c).cast("string")).cast("int") for c in columns])
+    return _profile(df, by, columns, blanks)
+
+
+def _cells(line: Column) -> Column:
+    """Cells of a CSV line, quotes taken off."""
+    bare = lambda cell: F.when(
+        cell.startswith('"'), F.replace(F.regexp_replace(cell, r'^"((?:[^"]|"")*)"', "$1"), F.lit('""'), F.lit('"'))
+    ).otherwise(cell)
+    return F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1)), bare)
+
+
+def profile_csv_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Profile every ``*.csv`` below ``folder`` in one job; the first line of a file is its header.
 
-    ``profile_name`` is the name the file would get; nothing is renamed. Blank
-    lines are not rows here, and cells missing from a short row count as empty.
-    ``multi_line`` allows line breaks inside quoted cells; Spark then reads each
-    file in one task, so leave it off for large files.
+    Files may have any number of columns, each its own. A row is all its cells, however many it has; cells a short row lacks
+    do not count as empty. ``profile_name`` is the name the file would get; nothing is renamed.
+    Blank lines are not rows here, and a line break inside a quoted cell ends the row.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (
-        spark.read.schema(schema)
+    # Whole lines: a separator that no text file holds, and no quotes.
+    lines = (
+        spark.read.schema("line string")
         .option("header", True)
-        .option("escape", '"')
-        .option("multiLine", multi_line)
+        .option("sep", "\u0001")
+        .option("quote", "")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .csv(folder)
+        .where("line is not null")
         .select(
-            *columns,
+            _cells(F.col("line")).alias("cells"),
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_name").alias("file_name"),
             F.col("_metadata.file_size").alias("size_bytes"),
         )
     )
-    profile = profile_rows(rows, ["file_path", "file_name", "size_bytes"], columns)
+    blanks = F.size(F.filter("cells", is_blank))
+    profile = _profile(lines, ["file_path", "file_name", "size_bytes"], ["cells"], blanks)
     # File names in the scan's metadata are URL-encoded.
     name = F.url_decode(F.replace("file_name", F.lit("+"), F.lit("%2B")))
     base = F.regexp_replace(name, "^.*?bytes_", "")

@@ -73,8 +73,9 @@ def gate(metrics: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def latest_metrics(metrics: DataFrame) -> DataFrame:
-    """The newest metrics row."""
-    return metrics.orderBy(F.desc("validation_time")).limit(1)
+    """The newest metrics row; of several of one time, the one of the highest numbers."""
+    rest = [c for c in metrics.columns if c != "validation_time"]
+    return metrics.orderBy(F.desc("validation_time"), *[F.desc(c) for c in rest]).limit(1)
 
 
 def violation_breakdown(metrics: DataFrame, spec: TableSpec) -> DataFrame:

@@ -40,12 +40,12 @@ row = st.tuples(
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(data=st.lists(row, min_size=1, max_size=40))
 def test_dedup_against_brute_force(spark, data):
-    def nulls_first(r):
-        return tuple((v is not None, v) if v is not None else (False, 0 if i == 2 else "") for i, v in enumerate(r))
+    def nulls_last(r):
+        return tuple((v is None, v) if v is not None else (True, 0 if i == 2 else "") for i, v in enumerate(r))
 
     best = {}
     for r in data:
-        if r[0] not in best or nulls_first(r)[1:] < nulls_first(best[r[0]])[1:]:
+        if r[0] not in best or nulls_last(r)[1:] < nulls_last(best[r[0]])[1:]:
             best[r[0]] = r
     df = spark.createDataFrame(data, SCHEMA).repartition(4)
     once = clean.dedup_by_key(df, ["id"])

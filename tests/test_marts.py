@@ -34,6 +34,8 @@ def test_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in [0, 1, 19, 20, None]], "age int")
     bins = {r.bin: r.n for r in marts.histogram(df, "age", 20).collect()}
     assert bins == {0: 1, 1: 1, 19: 2}
+    odd = spark.createDataFrame([(v,) for v in [1.0, 50.0, 101.0, float("nan"), None]], "v double")
+    assert [(r.bin, r.n) for r in marts.histogram(odd, "v", 2).collect()] == [(0, 2), (1, 1)]
     same = spark.createDataFrame([(7,), (7,)], "age int")
     assert [(r.bin, r.n) for r in marts.histogram(same, "age").collect()] == [(0, 2)]
     assert marts.histogram(spark.createDataFrame([(None,)], "age int"), "age").collect() == []
