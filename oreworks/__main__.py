@@ -8,15 +8,17 @@ from __future__ import annotations
 import argparse
 import sys
 
-from oreworks.operators import marts, monitor, profile
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from oreworks.operators import export, marts, monitor, profile
 from oreworks.operators.quality import latest_metrics, metrics_schema
-from oreworks.plans.medallion import layer_tables, run_medallion
-from oreworks.session import build_session, size_shuffles
-from oreworks.sources.listing import total_bytes
-from oreworks.sources.rowlog import read_rows
+from oreworks.plans.medallion import LAYER_MODES, layer_tables, run_medallion
+from oreworks.session import build_session
+from oreworks.sources.rowlog import merge_closed_months, read_newest_month
 from oreworks.sources.versioned import VersionedTable
 from oreworks.spec import PEOPLE, Layout
-from oreworks.streaming.files import start_medallion
+from oreworks.streaming.files import medallion_arrivals
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -31,9 +33,14 @@ def _parser() -> argparse.ArgumentParser:
 
     command("run", "run all layers once over the input folder")
     watch = command("watch", "run all layers for each arrival of files")
-    watch.add_argument("--every", default="1 minute")
+    watch.add_argument("--every", type=float, default=60.0, metavar="SECONDS")
     watch.add_argument("--once", action="store_true", help="take what is there and end")
     watch.add_argument("--archive", action="store_true", help="move taken files to the archive folder")
+    watch.add_argument("--silver-mode", default="overwrite", choices=LAYER_MODES)
+    watch.add_argument("--max-files", type=int, help="files of one batch at most")
+    export_to = command("export", "write all silver rows as CSV, newest date first")
+    export_to.add_argument("--to", required=True, help="folder of the CSV files")
+    command("merge-logs", "rewrite closed months of the logs as one table each")
     command("counts", "row count per layer")
     command("status", "last run, silver rows, latest quality metrics")
     command("profile", "size, duplicate rows and empty cells of each input CSV file")
@@ -58,25 +65,37 @@ def main(argv: list[str] | None = None) -> int:
     tables = layer_tables(spark, PEOPLE, layout)
 
     if args.command == "run":
-        size_shuffles(spark, total_bytes(spark, layout.input))
         result = run_medallion(spark, PEOPLE, layout)
         print(result)
         return 0 if result.ok else 2
     if args.command == "watch":
-        query = start_medallion(
-            spark, PEOPLE, layout, every=None if args.once else args.every, archive=args.archive, on_result=print
-        )
-        query.awaitTermination()
+        every = None if args.once else args.every
+        how = {"every": every, "archive": args.archive, "silver_mode": args.silver_mode, "max_files": args.max_files}
+        medallion_arrivals(spark, PEOPLE, layout, on_result=print, **how)
+    elif args.command == "export":
+        rows = tables["silver"].read()
+        if rows is None:
+            print("no silver table")
+            return 1
+        export.export_csv(rows, args.to, marts.silver_order(PEOPLE))
+    elif args.command == "merge-logs":
+        logs = {
+            layout.dq_metrics: metrics_schema(PEOPLE),
+            layout.trace: monitor.INCIDENT_SCHEMA,
+            layout.run_metrics: monitor.RUN_SCHEMA,
+        }
+        for path, schema in logs.items():
+            print(path, merge_closed_months(spark, path, schema))
     elif args.command == "counts":
         marts.layer_counts(spark, {name: table.read() for name, table in tables.items()}).show()
     elif args.command == "status":
-        runs = read_rows(spark, layout.run_metrics, monitor.RUN_SCHEMA)
+        runs = read_newest_month(spark, layout.run_metrics, monitor.RUN_SCHEMA)
         monitor.run_kpis(spark, runs, tables["silver"].read()).show()
-        metrics = read_rows(spark, layout.dq_metrics, metrics_schema(PEOPLE))
+        metrics = read_newest_month(spark, layout.dq_metrics, metrics_schema(PEOPLE))
         if metrics is not None:
             latest_metrics(metrics).show(truncate=False)
     elif args.command == "profile":
-        profile.profile_csv_files(spark, layout.input, PEOPLE.schema.names).show(truncate=False)
+        _print_all(profile.profile_csv_files(spark, layout.input).orderBy("file_path"))
     elif args.command == "incident":
         monitor.log_incident(
             spark, layout.trace, args.dag_id, args.run_id, args.task_id, args.message, args.status
@@ -93,7 +112,13 @@ def _mutate_or_list(args: argparse.Namespace, table: VersionedTable) -> None:
         print(table.delete(args.where))
     history = table.history()
     if history is not None:
-        monitor.history_report(history).limit(100).show(truncate=False)
+        _print_all(monitor.history_report(history))
+
+
+def _print_all(rows: DataFrame) -> None:
+    """Every row as one line of JSON, fetched partition by partition."""
+    for row in rows.select(F.to_json(F.struct("*"))).toLocalIterator():
+        print(row[0])
 
 
 if __name__ == "__main__":

@@ -52,7 +52,7 @@ def log_incident(
         "status": status,
         "timestamp": at or datetime.now(timezone.utc),
     }
-    append_rows(one_row(spark, INCIDENT_SCHEMA, row), path, record_id)
+    append_rows(one_row(spark, INCIDENT_SCHEMA, row), path, record_id, row["timestamp"])
 
 
 def failure_incidents(failures: DataFrame, status: str = "ERROR") -> DataFrame:
@@ -76,7 +76,8 @@ def record_run(
 ) -> None:
     """Append the duration of one finished run, to two decimals."""
     row = {"epoch_s": float(epoch_s), "duration_s": round(float(duration_s), 2)}
-    append_rows(one_row(spark, RUN_SCHEMA, row), path, record_id)
+    finished = datetime.fromtimestamp(epoch_s, timezone.utc)
+    append_rows(one_row(spark, RUN_SCHEMA, row), path, record_id, finished)
 
 
 def run_kpis(spark: SparkSession, runs: DataFrame | None, silver: DataFrame | None) -> DataFrame:

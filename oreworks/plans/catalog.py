@@ -22,17 +22,19 @@ from oreworks.functions.text import percent, run_id
 from oreworks.operators import clean, datagen, export, marts, monitor, profile, quality
 from oreworks.plans import medallion
 from oreworks.session import work_dir
-from oreworks.sources import commitlog, files
-from oreworks.sources.rowlog import append_rows, read_rows
+from oreworks.sources import files
+from oreworks.sources.listing import folder_names, place_file
+from oreworks.sources.rowlog import append_rows, merge_closed_months, read_newest_month
 from oreworks.sources.versioned import VersionedTable
 from oreworks.spec import PEOPLE, Layout
-from oreworks.streaming.files import start_ingest, start_medallion
+from oreworks.streaming.files import ingest_arrivals, medallion_arrivals
 
 # Derived rows carry their event id, which orders rows of one time.
 SPEC = replace(PEOPLE, order_by=("event_id",))
 CLOCK = datetime(2024, 2, 1, 12, 0, tzinfo=timezone.utc)
 PEOPLE_COLUMNS = ["id", "name", "age"]
-STREAM_TIMEOUT_S = 3600
+UPDATE_WHERE, UPDATE_SET = "id BETWEEN 100 AND 140", {"age": "age * 2"}
+DELETE_WHERE = "age < 3 OR name = 'error'"
 
 
 # -- derived inputs ----------------------------------------------------------------
@@ -108,8 +110,8 @@ def _four_versions(spark: SparkSession, sf_dir: str, purpose: str) -> VersionedT
     second = timedelta(seconds=1)
     table.overwrite(_even(rows), timestamp=CLOCK)
     table.append(_odd(rows), timestamp=CLOCK + second)
-    table.update("id < 5", {"age": "age + 1"}, timestamp=CLOCK + 2 * second)
-    table.delete("age > 80", timestamp=CLOCK + 3 * second)
+    table.update(UPDATE_WHERE, UPDATE_SET, timestamp=CLOCK + 2 * second)
+    table.delete(DELETE_WHERE, timestamp=CLOCK + 3 * second)
     return table
 
 
@@ -131,7 +133,7 @@ def ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_optional_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The folder has CSV files only; the JSON source is skipped."""
     folder = work_dir(spark, "ingest_optional")
-    _even(raw_rows(spark, sf_dir)).select(*PEOPLE_COLUMNS).write.option("header", True).csv(folder)
+    raw_rows(spark, sf_dir).select(*PEOPLE_COLUMNS).write.option("header", True).csv(folder)
     return files.read_drop(spark, folder, PEOPLE.schema).select(*PEOPLE_COLUMNS)
 
 
@@ -207,8 +209,13 @@ def csv_export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- cleaning ----------------------------------------------------------------------
 
 
+def _types(df: DataFrame, **columns: str) -> DataFrame:
+    """The types of columns as further columns, since times leave as text."""
+    return df.withColumns({name: F.lit(dict(df.dtypes)[c].removesuffix("_ntz")) for name, c in columns.items()})
+
+
 def silver_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show(silver(spark, sf_dir))
+    return _show(_types(silver(spark, sf_dir), time_type="ingestion_time", date_type="processed_date"))
 
 
 def dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -258,16 +265,18 @@ def dq_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two metrics rows are appended, of the CSV rows and later of all rows; the later one is shown."""
     path = work_dir(spark, "dq_latest")
     rows = raw_rows(spark, sf_dir)
-    append_rows(quality.quality_metrics(_even(rows), SPEC, at=CLOCK), path)
-    append_rows(quality.quality_metrics(rows, SPEC, at=CLOCK + timedelta(hours=1)), path)
-    return _show(quality.latest_metrics(read_rows(spark, path, quality.metrics_schema(SPEC))))
+    schema = quality.metrics_schema(SPEC)
+    for rows_in, at in ((_even(rows), CLOCK), (rows, CLOCK + timedelta(hours=1))):
+        append_rows(quality.quality_metrics(rows_in, SPEC, at=at), path, at=at)
+    merge_closed_months(spark, path, schema)
+    return _show(quality.latest_metrics(read_newest_month(spark, path, schema)))
 
 
 # -- marts and views ---------------------------------------------------------------
 
 
 def gold_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _show(gold(spark, sf_dir))
+    return _show(_types(gold(spark, sf_dir), date_type="processed_date"))
 
 
 def gold_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,7 +314,7 @@ def run_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").cast("double").alias("epoch_s"), F.col("value").alias("duration_s")
     )
     append_rows(runs, path)
-    return monitor.run_kpis(spark, read_rows(spark, path, monitor.RUN_SCHEMA), silver(spark, sf_dir))
+    return monitor.run_kpis(spark, read_newest_month(spark, path, monitor.RUN_SCHEMA), silver(spark, sf_dir))
 
 
 # -- versions ----------------------------------------------------------------------
@@ -319,16 +328,31 @@ def _silver_table(spark: SparkSession, sf_dir: str, purpose: str) -> VersionedTa
 
 def update_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _silver_table(spark, sf_dir, "update_where")
-    table.update("id < 5", {"age": "age + 1"})
+    table.update(UPDATE_WHERE, UPDATE_SET)
     return _show(table.read(), *PEOPLE_COLUMNS, "processed_date")
 
 
 def delete_where(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _silver_table(spark, sf_dir, "delete_where")
-    table.delete("age > 80")
+    table.delete(DELETE_WHERE)
     return _show(table.read(), *PEOPLE_COLUMNS, "processed_date")
 
 
+def replace_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions by a time that differs in microseconds, or is NULL, and a text that paths must escape."""
+    event = F.col("event_id")
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id",
+        "value",
+        F.when(event % 4 != 0, F.timestamp_micros(F.lit(1704067200000000) + event % 3)).alias("slot"),
+        F.when(event % 2 == 0, "a/b=c d%\"\u00e9").otherwise("plain").alias("kind"),
+    )
+    table = VersionedTable(spark, work_dir(spark, "replace_partitions"), ["slot", "kind"])
+    table.overwrite(rows)
+    table.replace_partitions(rows.where("event_id % 3 = 1 and event_id % 2 = 0").withColumn("value", F.col("value") + 1000))
+    return _show(table.read())
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     commits = _four_versions(spark, sf_dir, "history").history()
     more = {"updated_rows": "numUpdatedRows", "deleted_rows": "numDeletedRows", "copied_rows": "numCopiedRows"}
@@ -385,88 +409,18 @@ def file_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_profile_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The profile of CSV files on disk, summed over the files; how rows split into files is Spark's choice."""
+    """Profiles of CSV files of a thousand events each, every seventh of which is written twice."""
     folder = work_dir(spark, "file_profile_csv")
-    raw_rows(spark, sf_dir).select(*PEOPLE_COLUMNS).write.option("header", True).csv(folder)
-    return profile.profile_csv_files(spark, folder, PEOPLE_COLUMNS).agg(
-        F.sum("n_rows").alias("n_rows"),
-        F.sum("empty_cells").alias("empty_cells"),
-        F.bool_and(F.col("profile_name").startswith(F.format_string("s%dd", "size_bytes"))).alias("names_hold_size"),
-    )
-
-
-def _commit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A commit log told by the events: each day is a version that adds one file per event type.
-
-    Every third day the version after it removes that day's files.
-    """
-    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")).cast("bigint")
-    days = (
-        spark.read.parquet(f"{sf_dir}/events.parquet")
-        .groupBy(day.alias("version"), "event_type")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("event_id").alias("lo"),
-            F.max("event_id").alias("hi"),
-            F.count_if(F.col("event_id") % 10 == 0).alias("nulls"),
-        )
-    )
-    path = F.format_string("day=%d/%s.snappy.parquet", "version", "event_type")
-    stats = F.to_json(
-        F.struct(
-            F.col("n").alias("numRecords"),
-            F.struct(F.col("lo").alias("id")).alias("minValues"),
-            F.struct(F.col("hi").alias("id")).alias("maxValues"),
-            F.struct(F.col("nulls").alias("age")).alias("nullCount"),
-        )
-    )
-    adds = days.select(
-        "version",
-        F.to_json(
-            F.struct(F.struct(path.alias("path"), (F.col("n") * 5).alias("size"), stats.alias("stats")).alias("add"))
-        ).alias("value"),
-    )
-    removes = days.where("version % 3 = 0").select(
-        (F.col("version") + 1).alias("version"),
-        F.to_json(
-            F.struct(F.struct(path.alias("path"), (F.col("n") * 5).alias("size")).alias("remove"))
-        ).alias("value"),
-    )
-    commits = (
-        days.groupBy("version")
-        .agg(F.sum("n").alias("n"))
-        .select(
-            "version",
-            F.to_json(
-                F.struct(
-                    F.struct(
-                        (F.col("version") * 86400000).alias("timestamp"),
-                        F.lit("WRITE").alias("operation"),
-                        F.create_map(F.lit("numOutputRows"), F.col("n").cast("string")).alias("operationMetrics"),
-                    ).alias("commitInfo")
-                )
-            ).alias("value"),
-        )
-    )
-    return commitlog.parse_actions(adds.unionByName(removes).unionByName(commits))
-
-
-def commit_log_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return commitlog.replay(_commit_log(spark, sf_dir))
-
-
-def commit_log_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return monitor.history_report(commitlog.commit_history(_commit_log(spark, sf_dir)))
-
-
-def file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = commitlog.file_stats(commitlog.live_files(_commit_log(spark, sf_dir)))
-    return stats.select(
-        "path",
-        "num_records",
-        F.col("min_values")["id"].alias("min_id"),
-        F.col("max_values")["id"].alias("max_id"),
-        F.col("null_count")["age"].alias("null_ages"),
+    rows = raw_rows(spark, sf_dir)
+    twice = rows.unionByName(rows.where("event_id % 7 = 0")).withColumn("part", F.expr("event_id div 1000"))
+    twice.select(*PEOPLE_COLUMNS, "part").repartition("part").write.partitionBy("part").option("header", True).csv(folder)
+    return profile.profile_csv_files(spark, folder).select(
+        F.regexp_extract("file_path", r"/part=(\d+)/", 1).cast("bigint").alias("part"),
+        "n_rows",
+        "size_bytes",
+        "duplicate_rows",
+        "empty_cells",
+        F.regexp_extract("profile_name", "^(s.*)_part-", 1).alias("name_start"),
     )
 
 
@@ -496,15 +450,43 @@ def medallion_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A modification time long past: the age of a file must not matter.
+OLD_FILE_MS = 1_000_000_000_000
+
+
+def _arrive(spark: SparkSession, rows: DataFrame, layout: Layout) -> None:
+    """Drop the even rows as CSV and the odd ones as JSON, under the same names each time and as old files."""
+    stage = work_dir(spark, "stage")
+    _even(rows).select(*PEOPLE_COLUMNS).write.option("header", True).csv(f"{stage}/csv")
+    _odd(rows).select(*PEOPLE_COLUMNS).write.json(f"{stage}/json")
+    for kind in ("csv", "json"):
+        parts = [n for n in folder_names(spark, f"{stage}/{kind}") if n.startswith("part-")]
+        for i, name in enumerate(parts):
+            place_file(spark, f"{stage}/{kind}/{name}", f"{layout.input}/raw_data_{i}.{kind}", OLD_FILE_MS)
+
+
+def _two_arrivals(spark: SparkSession, sf_dir: str, purpose: str, take: Callable[[Layout], object]) -> Layout:
+    """Two halves of the rows arrive one after the other under the same file names; the first is archived in between."""
+    layout = Layout(work_dir(spark, purpose))
+    rows = raw_rows(spark, sf_dir)
+    for half in (rows.where("event_id % 4 < 2"), rows.where("event_id % 4 >= 2")):
+        _arrive(spark, half, layout)
+        take(layout)
+    return layout
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = _drop_files(spark, sf_dir, "stream_ingest")
-    start_ingest(spark, PEOPLE, layout).awaitTermination(STREAM_TIMEOUT_S)
+    layout = _two_arrivals(
+        spark, sf_dir, "stream_ingest", lambda to: ingest_arrivals(spark, PEOPLE, to, archive=True)
+    )
     return VersionedTable(spark, layout.bronze).read().select(*PEOPLE_COLUMNS)
 
 
 def stream_medallion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = _drop_files(spark, sf_dir, "stream_medallion")
-    start_medallion(spark, PEOPLE, layout).awaitTermination(STREAM_TIMEOUT_S)
+    """Silver keeps what earlier batches left; each batch is deduplicated by itself."""
+    layout = _two_arrivals(
+        spark, sf_dir, "stream_medallion", lambda to: medallion_arrivals(spark, PEOPLE, to, archive=True, silver_mode="append")
+    )
     return VersionedTable(spark, layout.silver).read().select(*PEOPLE_COLUMNS)
 
 
@@ -561,6 +543,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_kpis": run_kpis,
     "update_where": update_where,
     "delete_where": delete_where,
+    "replace_partitions": replace_partitions,
     "history": history,
     "history_volume": history_volume,
     "table_versions": table_versions,
@@ -568,9 +551,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incident_log": incident_log,
     "file_profile": file_profile,
     "file_profile_csv": file_profile_csv,
-    "commit_log_replay": commit_log_replay,
-    "commit_log_history": commit_log_history,
-    "file_stats": file_stats,
     "medallion_run": medallion_run,
     "stream_ingest": stream_ingest,
     "stream_medallion": stream_medallion,

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -14,9 +15,10 @@ from oreworks.operators.clean import dedup_by_key, derive_date, fill_nulls
 from oreworks.operators.marts import gold_by_date
 from oreworks.operators.monitor import log_incident, record_run
 from oreworks.operators.quality import gate, metric_names, metrics_schema, quality_metrics, rule_counts
+from oreworks.session import sized_shuffles
 from oreworks.sources.files import read_drop, stamp
 from oreworks.sources.rowlog import append_rows, one_row
-from oreworks.sources.versioned import Commit, VersionedTable
+from oreworks.sources.versioned import Commit, VersionedTable, check_batch_id
 from oreworks.spec import Layout, TableSpec
 
 # Names and message the incident table is searched by.
@@ -26,6 +28,8 @@ MAIN_TASK = "main_process"
 GATE_MESSAGE = "Pipeline halted due to critical Data Quality issues in Bronze."
 
 SUCCEEDED, HALTED, NO_INPUT = "succeeded", "halted", "no_input"
+# Bytes a row takes in a shuffle per byte in a compressed columnar file, a cautious guess.
+SHUFFLED_PER_STORED = 4
 LAYER_MODES = ("overwrite", "append", "replace_partitions")
 
 
@@ -86,7 +90,15 @@ def _append_metrics(
     record_id: str | None,
 ) -> None:
     record = {**metrics, "validation_time": at or datetime.now(timezone.utc)}
-    append_rows(one_row(spark, metrics_schema(spec), record), layout.dq_metrics, record_id)
+    append_rows(one_row(spark, metrics_schema(spec), record), layout.dq_metrics, record_id, at)
+
+
+def _after_failure(step: Callable[[], object]) -> None:
+    """Do what is left to record of a failed run; the run's own error is the one to be raised."""
+    try:
+        step()
+    except Exception:
+        logging.getLogger(__name__).exception("could not record a failed run")
 
 
 def write_layer(table: VersionedTable, df: DataFrame, mode: str, **how) -> Commit:
@@ -123,8 +135,9 @@ def run_medallion(
 
     Each input file is parsed once, by the bronze write; the gate and silver read
     the Parquet rows, the gate its rule columns only. The one shuffle of rows is
-    silver's dedup.
+    silver's dedup; its partitions are sized from the bytes bronze has written.
     """
+    check_batch_id(batch_id)
     started = time.monotonic()
     clock = at or datetime.now(timezone.utc)
     run_id = batch_id or f"run_{int(clock.timestamp())}"
@@ -154,9 +167,11 @@ def run_medallion(
             )
             return RunResult(run_id, HALTED, bronze_count, metrics=metrics)
         try:
-            silver = write_layer(tables["silver"], silver_rows(bronze, spec), silver_mode, **how)
+            # The rows' size in memory and on their way is some times that of the compressed files.
+            with sized_shuffles(spark, SHUFFLED_PER_STORED * written.metric("numOutputBytes")):
+                silver = write_layer(tables["silver"], silver_rows(bronze, spec), silver_mode, **how)
         except Exception:
-            check_quality(spark, bronze, spec, layout, clock, batch_id)
+            _after_failure(lambda: check_quality(spark, bronze, spec, layout, clock, batch_id))
             raise
         dropped = counts["total_rows"] - silver.metric("numOutputRows")
         metrics = {n: dropped if n == spec.duplicate_metric else counts[n] for n in metric_names(spec)}
@@ -182,5 +197,8 @@ def run_medallion(
             duration,
         )
     except Exception as error:
-        log_incident(spark, layout.trace, PIPELINE, run_id, MAIN_TASK, str(error), at=clock, record_id=batch_id)
+        text = str(error)
+        _after_failure(
+            lambda: log_incident(spark, layout.trace, PIPELINE, run_id, MAIN_TASK, text, at=clock, record_id=batch_id)
+        )
         raise

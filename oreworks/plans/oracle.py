@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from oreworks.functions.text import FAILURE_DETAIL_CHARS, FAILURE_MESSAGE
+from oreworks.operators.datagen import NAMES
+from oreworks.operators.marts import FUNNEL_STAGES
+from oreworks.plans.catalog import DELETE_WHERE, UPDATE_WHERE
+from oreworks.spec import PEOPLE
+
 # Views the queries below share: the derived raw rows and the layers over them.
 _VIEWS = """
 with raw_v as (
@@ -26,7 +32,7 @@ with raw_v as (
   from silver_v group by processed_date
 ), drop_silver_v as (
   select id, name, coalesce(age, 45) as age from (
-    select *, row_number() over (partition by id order by name nulls first, age nulls first) as rn from raw_v)
+    select *, row_number() over (partition by id order by name nulls last, age nulls last) as rn from raw_v)
   where rn = 1
 ), dq_v as (
   select count(*) as total_rows,
@@ -38,15 +44,11 @@ with raw_v as (
 ), v1 as (
   select *, cast(ingestion_time as date) as processed_date from raw_v
 ), v2 as (
-  select * replace (case when id < 5 then age + 1 else age end as age) from v1
+  select * replace (case when UPDATE_WHERE then age * 2 else age end as age) from v1
 ), v3 as (
-  select * from v2 where not coalesce(age > 80, false)
-), day_v as (
-  select date_diff('day', date '2024-01-01', cast(ts as date)) as version, event_type, count(*) as n,
-         min(event_id) as lo, max(event_id) as hi, count(*) filter (where event_id % 10 = 0) as nulls
-  from events group by 1, 2
+  select * from v2 where not coalesce(DELETE_WHERE, false)
 )
-"""
+""".replace("UPDATE_WHERE", UPDATE_WHERE).replace("DELETE_WHERE", DELETE_WHERE)
 
 _TIME = "strftime({}, '%Y-%m-%d %H:%M:%S.%f')"
 _DAY = "strftime({}, '%Y-%m-%d')"
@@ -64,19 +66,20 @@ def _people(source: str, null_rate: float, seed: int = 1) -> str:
     limit = int(null_rate * 2**32)
     return f"""
       select cast(id as integer) as id,
-             list_extract(['Alice', 'Bob', 'Charlie', 'David', 'Eve', 'Frank', 'Grace', 'Heidi', 'Ivan', 'Judy'],
-                          1 + {_draw(key, 'name', seed)} % 10) as name,
+             list_extract({list(NAMES)}, 1 + {_draw(key, 'name', seed)} % {len(NAMES)}) as name,
              case when {_draw(key, 'null_age', seed)} < {limit} then null
                   else cast(18 + {_draw(key, 'age', seed)} % 63 as integer) end as age
       from {source}"""
 
 
+# The message as an SQL text.
+_FAILURE = FAILURE_MESSAGE.replace("'", "''")
 _IDS = "(select c_custkey as id from customer)"
 
 _BODIES = {
     "ingest_csv": "select id, name, age from raw_v",
     "ingest_json": "select id, name, age from raw_v",
-    "ingest_optional_sources": "select id, name, age from raw_v where event_id % 2 = 0",
+    "ingest_optional_sources": "select id, name, age from raw_v",
     "union_sources": "select id, name, age from raw_v",
     "bronze": """
         select id, name, age, '2024-02-01 12:00:00.000000' as ingestion_time,
@@ -94,7 +97,8 @@ _BODIES = {
         select event_id, id, name, age, 1 as x from raw_v where event_id % 2 = 1""",
     "partitioned_read": f"select {_SILVER_SHORT} from silver_v where processed_date = date '2024-01-15'",
     "csv_export_roundtrip": f"select {_SILVER_SHORT} from silver_v",
-    "silver": f"select {_SILVER} from silver_v",
+    "silver": f"""
+        select {_SILVER}, lower(typeof(ingestion_time)) as time_type, lower(typeof(processed_date)) as date_type from silver_v""",
     "dedup_by_key": f"select {_RAW} from first_v",
     "fill_nulls": "select event_id, id, name, coalesce(age, 45) as age from raw_v",
     "distinct_rows": "select distinct id, name, age from raw_v",
@@ -111,23 +115,25 @@ _BODIES = {
                printf('%.2f%%', 100.0 * null_ids / total_rows) as null_ids_percent,
                null_ids <= 0.5 * total_rows as passed
         from dq_v""",
-    "dq_breakdown": """
-        select 'Null IDs' as violation, null_ids as violations from dq_v
-        union all select 'Neg. Ages', negative_ages from dq_v
-        union all select 'Inv. Ages', invalid_ages from dq_v
-        union all select 'Duplicates', duplicate_ids from dq_v""",
+    "dq_breakdown": " union all ".join(
+        f"select '{label}' as violation, {metric} as violations from dq_v"
+        for metric, label in [*[(r.metric, r.label) for r in PEOPLE.rules], (PEOPLE.duplicate_metric, PEOPLE.duplicate_label)]
+    ),
     "dq_latest": "select *, '2024-02-01 13:00:00.000000' as validation_time from dq_v",
-    "gold": f"select {_DAY.format('processed_date')} as processed_date, average_age, total_users from gold_v",
+    "gold": f"""
+        select {_DAY.format('processed_date')} as processed_date, average_age, total_users,
+               lower(typeof(processed_date)) as date_type
+        from gold_v""",
     "gold_trend": f"""
         select {_DAY.format('processed_date')} as processed_date, average_age from gold_v order by 1""",
     "layer_counts": """
         select 'bronze' as layer, count(*) as row_count from raw_v
         union all select 'silver', count(*) from silver_v
         union all select 'gold', count(*) from gold_v""",
-    "layer_funnel": """
-        select 'Bronze (Raw)' as stage, count(*) as row_count from raw_v
-        union all select 'Silver (Cleaned)', count(*) from silver_v
-        union all select 'Gold (Aggregated)', count(*) from gold_v""",
+    "layer_funnel": " union all ".join(
+        f"select '{stage}' as stage, count(*) as row_count from {layer if layer != 'bronze' else 'raw'}_v"
+        for layer, stage in FUNNEL_STAGES.items()
+    ),
     "histogram": """
         select bin, round(lo + bin * w, 6) as bin_start, round(lo + (bin + 1) * w, 6) as bin_end, n from (
           select cast(least(floor((cast(age as double) - lo) / w), 19) as integer) as bin,
@@ -144,22 +150,34 @@ _BODIES = {
         from silver_v""",
     "update_where": f"""
         select {_SILVER_SHORT} from (
-          select * replace (case when id < 5 then age + 1 else age end as age) from silver_v)""",
-    "delete_where": f"select {_SILVER_SHORT} from silver_v where not coalesce(age > 80, false)",
-    "history": """
+          select * replace (case when {UPDATE_WHERE} then age * 2 else age end as age) from silver_v)""",
+    "delete_where": f"select {_SILVER_SHORT} from silver_v where not coalesce({DELETE_WHERE}, false)",
+    "history": f"""
         select cast(0 as bigint) as version, '2024-02-01 12:00:00' as timestamp, 'WRITE' as operation, count(*) as rows_written,
                0 as updated_rows, 0 as deleted_rows, 0 as copied_rows
         from v1 where event_id % 2 = 0
         union all
         select 1, '2024-02-01 12:00:01', 'WRITE', count(*), 0, 0, 0 from v1 where event_id % 2 = 1
         union all
-        select 2, '2024-02-01 12:00:02', 'UPDATE', 0, count(*) filter (where coalesce(id < 5, false)), 0,
-               count(*) filter (where not coalesce(id < 5, false))
-        from v1 where processed_date in (select processed_date from v1 where id < 5)
+        select 2, '2024-02-01 12:00:02', 'UPDATE', 0, count(*) filter (where coalesce({UPDATE_WHERE}, false)), 0,
+               count(*) filter (where not coalesce({UPDATE_WHERE}, false))
+        from v1 where processed_date in (select processed_date from v1 where {UPDATE_WHERE})
         union all
-        select 3, '2024-02-01 12:00:03', 'DELETE', 0, 0, count(*) filter (where coalesce(age > 80, false)),
-               count(*) filter (where not coalesce(age > 80, false))
-        from v2 where processed_date in (select processed_date from v2 where age > 80)""",
+        select 3, '2024-02-01 12:00:03', 'DELETE', 0, 0, count(*) filter (where coalesce({DELETE_WHERE}, false)),
+               count(*) filter (where not coalesce({DELETE_WHERE}, false))
+        from v2 where processed_date in (select processed_date from v2 where {DELETE_WHERE})""",
+    "replace_partitions": """
+        , rows_v as (
+          select event_id, value, case when event_id % 4 <> 0 then timestamp '2024-01-01' + to_microseconds(event_id % 3) end as slot,
+                 case when event_id % 2 = 0 then 'a/b=c d%"\u00e9' else 'plain' end as kind
+          from events
+        ), new_v as (
+          select * replace (value + 1000 as value) from rows_v where event_id % 3 = 1 and event_id % 2 = 0)
+        select event_id, value, strftime(slot, '%Y-%m-%d %H:%M:%S.%f') as slot, kind from (
+          select * from new_v
+          union all
+          select * from rows_v r where not exists (
+            select 1 from new_v n where n.slot is not distinct from r.slot and n.kind = r.kind))""",
     "history_volume": """
         select '2024-02-01 12:00:00' as timestamp, count(*) as rows_written from v1 where event_id % 2 = 0
         union all
@@ -175,7 +193,7 @@ _BODIES = {
     "incident_log": f"""
         select 'events' as dag_id, 'run_' || cast(floor(epoch(ts)) as bigint) as run_id,
                'user_' || user_id as task_id,
-               'FAILURE in task ''user_' || user_id || ''': ' || substr(repeat(props, 40), 1, 200) || '...' as message,
+               printf('{_FAILURE}', 'user_' || user_id, substr(repeat(props, 40), 1, {FAILURE_DETAIL_CHARS})) as message,
                'ERROR' as status, {_TIME.format('ts')} as timestamp
         from events where event_type = 'error'""",
     "file_profile": """
@@ -185,34 +203,15 @@ _BODIES = {
         from (select source_file, id, name, age, count(*) as n from raw_v group by all)
         group by source_file""",
     "file_profile_csv": """
-        select count(*) as n_rows, count(*) filter (where id is null) + count(*) filter (where age is null) as empty_cells,
-               true as names_hold_size
-        from raw_v""",
-    "commit_log_replay": """
-        , change_v as (
-          select version, n, true as added from day_v
-          union all select version + 1, n, false from day_v where version % 3 = 0
-        ), version_v as (
-          select version,
-                 count(*) filter (where added) as added_files, cast(coalesce(sum(n) filter (where added), 0) as bigint) as added_rows,
-                 cast(coalesce(sum(n * 5) filter (where added), 0) as bigint) as added_bytes,
-                 count(*) filter (where not added) as removed_files,
-                 cast(coalesce(sum(n) filter (where not added), 0) as bigint) as removed_rows,
-                 cast(coalesce(sum(n * 5) filter (where not added), 0) as bigint) as removed_bytes
-          from change_v group by version)
-        select *, cast(sum(added_files - removed_files) over w as bigint) as live_files,
-               cast(sum(added_rows - removed_rows) over w as bigint) as live_rows,
-               cast(sum(added_bytes - removed_bytes) over w as bigint) as live_bytes
-        from version_v window w as (order by version)""",
-    "commit_log_history": """
-        select version, strftime(timestamp '1970-01-01' + to_days(cast(version as integer)), '%Y-%m-%d %H:%M:%S')
-                 as timestamp,
-               'WRITE' as operation, cast(sum(n) as bigint) as rows_written, cast(0 as bigint) as output_bytes
-        from day_v group by version""",
-    "file_stats": """
-        select 'day=' || version || '/' || event_type || '.snappy.parquet' as path, n as num_records,
-               cast(lo as varchar) as min_id, cast(hi as varchar) as max_id, nulls as null_ages
-        from day_v where version % 3 <> 0""",
+        , line_v as (
+          select event_id // 1000 as part, coalesce(id::varchar, '') || ',' || name || ',' || coalesce(age::varchar, '') as line,
+                 (id is null)::int + (age is null)::int as blanks, unnest(range(case when event_id % 7 = 0 then 2 else 1 end)) as copy
+          from raw_v
+        ), file_v as (
+          select part, count(*) as n_rows, cast(sum(strlen(line) + 1) + strlen('id,name,age') + 1 as bigint) as size_bytes,
+                 count(*) - count(distinct line) as duplicate_rows, cast(sum(blanks) as bigint) as empty_cells
+          from line_v group by part)
+        select *, 's' || size_bytes || 'd' || duplicate_rows || 'n' || empty_cells as name_start from file_v""",
     "medallion_run": """
         select 'run_1706788800' as run_id, 'succeeded' as status, total_rows as bronze_rows,
                (select count(*) from drop_silver_v) as silver_rows, cast(1 as bigint) as gold_rows,
@@ -221,7 +220,10 @@ _BODIES = {
                (select count(*) from drop_silver_v) as total_users
         from dq_v""",
     "stream_ingest": "select id, name, age from raw_v",
-    "stream_medallion": "select id, name, age from drop_silver_v",
+    "stream_medallion": """
+        select id, name, coalesce(age, 45) as age from (
+          select *, row_number() over (partition by id, event_id % 4 < 2 order by name nulls last, age nulls last) as rn from raw_v)
+        where rn = 1""",
     "generate_people": f"""
         , people_v as ({_people(_IDS, 0.2)})
         select * from people_v

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from oreworks.sources.listing import if_present
+
 
 def read_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     schema: T.StructType,
     *,
     file_column: str | None = None,
@@ -30,16 +31,16 @@ def read_csv(
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("enforceSchema", not check_header)
-        .csv(path)
+        .csv(path if isinstance(path, str) else list(path))
     )
     return with_source_file(df, file_column) if file_column else df
 
 
 def read_json(
-    spark: SparkSession, path: str, schema: T.StructType, *, file_column: str | None = None
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, *, file_column: str | None = None
 ) -> DataFrame:
     """JSON-lines files; a line that does not parse becomes a row of NULLs."""
-    df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
+    df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path if isinstance(path, str) else list(path))
     return with_source_file(df, file_column) if file_column else df
 
 
@@ -52,16 +53,6 @@ def with_source_file(df: DataFrame, column: str = "source_file") -> DataFrame:
     return df.select("*", F.col("_metadata.file_path").alias(column))
 
 
-def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """Result of ``read``, or None when its path has no files; other errors are raised."""
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 def union_sources(sources: Iterable[DataFrame | None]) -> DataFrame | None:
     """All rows of the sources that exist, matched by column name; None when there are none."""
     present = [s for s in sources if s is not None]

@@ -1,31 +1,90 @@
-"""File listings as DataFrames; no file is opened."""
+"""Files and folders of any Hadoop file system: listings as DataFrames, and single look-ups."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from oreworks.sources.files import if_present
-
-
 # A listing does no work per byte, but Spark plans one task per 128 MB of the
 # files listed; merged, even a 100 TB folder takes this many tasks at most.
 LISTING_TASKS = 256
 
 
+def _at(spark: SparkSession, path: str):
+    """File system and path object."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _at(spark, path)
+    return fs.exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder, sorted; none when it does not exist."""
+    fs, target = _at(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, target = _at(spark, path)
+    fs.delete(target, True)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Have the folder removed when the driver ends."""
+    fs, target = _at(spark, path)
+    fs.mkdirs(target)
+    fs.deleteOnExit(target)
+
+
+def move_file(spark: SparkSession, path: str, folder: str) -> None:
+    """Move one file into a folder, which is made when absent. A file that has gone is left alone."""
+    fs, source = _at(spark, path)
+    _, target = _at(spark, folder)
+    if fs.exists(source):
+        fs.mkdirs(target)
+        fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(target, source.getName()))
+
+
 def list_files(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFrame:
-    """Path and length of every file below the folders."""
+    """Path, modification time and length of every file below the folders; no file is opened."""
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .load(list(folders))
-        .select("path", "length")
+        .select("path", "modificationTime", "length")
         .coalesce(LISTING_TASKS)
     )
 
 
+def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """Result of ``read``, or None when its path has no files; other errors are raised."""
+    try:
+        return read()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def total_bytes(spark: SparkSession, folder: str) -> int:
     """Bytes of all files below a folder; 0 when it does not exist."""
-    files = if_present(lambda: list_files(spark, folder))
-    return 0 if files is None else files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    if not path_exists(spark, folder):
+        return 0
+    return list_files(spark, folder).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def place_file(spark: SparkSession, source: str, target: str, modified_ms: int | None = None) -> None:
+    """Move a file to a path of its own, whose folder is made when absent; ``modified_ms`` sets its modification time."""
+    fs, old = _at(spark, source)
+    _, new = _at(spark, target)
+    fs.mkdirs(new.getParent())
+    fs.rename(old, new)
+    if modified_ms is not None:
+        fs.setTimes(new, modified_ms, -1)

@@ -1,4 +1,12 @@
-"""Append-only logs of a few rows per run: quality metrics, incidents, run times."""
+"""Append-only logs of a few rows per run: quality metrics, incidents, run times.
+
+Layout of one log::
+
+    <path>/records/month=<yyyy-MM>/record_id=<id>/   the rows of one record
+    <path>/merged/month=<yyyy-MM>/                   all rows of a closed month
+
+A month that is merged is read from there, its single records count no more and are removed.
+"""
 
 from __future__ import annotations
 
@@ -13,9 +21,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from oreworks.sources.files import if_present
+from oreworks.sources.listing import delete_path, folder_names, path_exists
 
-_RECORD = "record_id"
+_MONTH, _RECORD = "month", "record_id"
 
 
 def one_row(spark: SparkSession, schema: T.StructType, row: Mapping[str, Any]) -> DataFrame:
@@ -33,20 +41,68 @@ def one_row(spark: SparkSession, schema: T.StructType, row: Mapping[str, Any]) -
     return spark.createDataFrame(pa.Table.from_pylist([cells], schema=to_arrow_schema(schema)), schema)
 
 
-def append_rows(df: DataFrame, path: str, record_id: str | None = None) -> None:
-    """Append the rows of ``df`` as one record.
+def _month_of(at: datetime | None) -> str:
+    return f"{(at or datetime.now(timezone.utc)).astimezone(timezone.utc):%Y-%m}"
+
+
+def append_rows(df: DataFrame, path: str, record_id: str | None = None, at: datetime | None = None) -> None:
+    """Append the rows of ``df`` as one record of the month of ``at`` (now by default).
 
     A record owns its own sub-folder, so writing it again under the same
-    ``record_id`` (a retried micro-batch) replaces it instead of doubling it.
+    ``record_id`` and month (a retried batch) replaces it instead of doubling it. A month that is
+    closed takes no more records; they go to the present one.
     """
     record_id = record_id or uuid.uuid4().hex
     if not re.fullmatch(r"[\w.-]+", record_id):
         raise ValueError(f"record id must be a plain name: {record_id!r}")
-    df.write.mode("overwrite").parquet(f"{path}/{_RECORD}={record_id}")
+    month = _month_of(at)
+    if path_exists(df.sparkSession, _merged(path, month)):
+        month = _month_of(None)
+    df.write.mode("overwrite").parquet(f"{path}/records/{_MONTH}={month}/{_RECORD}={record_id}")
+
+
+def _merged(path: str, month: str) -> str:
+    return f"{path}/merged/{_MONTH}={month}/_SUCCESS"
+
+
+def _months(spark: SparkSession, path: str) -> dict[str, str]:
+    """Month -> folder that holds its rows, oldest first."""
+    found = {name: f"{path}/records/{name}" for name in folder_names(spark, f"{path}/records") if "=" in name}
+    for name in folder_names(spark, f"{path}/merged"):
+        if path_exists(spark, f"{path}/merged/{name}/_SUCCESS"):
+            found[name] = f"{path}/merged/{name}"
+    return {name.partition("=")[2]: found[name] for name in sorted(found)}
+
+
+def _read(spark: SparkSession, folders: list[str], schema: T.StructType) -> DataFrame | None:
+    if not folders:
+        return None
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*folders).select(*schema.names)
 
 
 def read_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """All records, or None when nothing was ever appended."""
-    full = T.StructType([*schema.fields, T.StructField(_RECORD, T.StringType())])
-    df = if_present(lambda: spark.read.schema(full).parquet(path))
-    return None if df is None else df.select(*schema.names)
+    return _read(spark, list(_months(spark, path).values()), schema)
+
+
+def read_newest_month(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """Records of the newest month that has any: what the latest row is looked up in, however long the log."""
+    return _read(spark, list(_months(spark, path).values())[-1:], schema)
+
+
+def merge_closed_months(spark: SparkSession, path: str, schema: T.StructType, now: datetime | None = None) -> list[str]:
+    """Rewrite each month before the present one as one small table; returns the months merged.
+
+    The merged table becomes visible with its success mark, and only then do the records go, so a merge that
+    dies half-way loses and doubles nothing.
+    """
+    done = []
+    for month, folder in _months(spark, path).items():
+        records = f"{path}/records/{_MONTH}={month}"
+        if month < _month_of(now) and folder == records:
+            rows = _read(spark, [records], schema)
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/merged/{_MONTH}={month}")
+            done.append(month)
+        if path_exists(spark, _merged(path, month)) and path_exists(spark, records):
+            delete_path(spark, records)
+    return done

@@ -39,23 +39,38 @@ def sf_dir():
     return SF_DIR
 
 
-# Small raw files: a repeated id, a NULL id and ages out of range in each.
-CSV_ROWS = "id,name,age\n11,Ann,30\n12,Ben,-4\n,Cid,41\n13,Dee,140\n14,Eli,27\n11,Ann again,31\n"
-JSON_ROWS = (
-    '{"id": 21, "name": "Fay", "age": 33}\n'
-    '{"id": 22, "name": "Gus", "age": -9}\n'
-    '{"id": null, "name": "Hal", "age": 50}\n'
-    '{"id": 21, "name": "Fay again", "age": 34}\n'
-)
+# Two drops of cities. CSV: 9 rows, 6 keys, 1 NULL id, 2 negative ages, 1 above 120.
+# JSON: 6 rows, 5 keys (one of them in the CSV too), 1 NULL id, 1 negative age, 2 above 120.
+CSV_ROWS = """id,name,age
+301,Oslo,52
+,Quito,-1
+302,Lima,
+303,Cairo,121
+301,Oslo,52
+304,Perth,-30
+303,Cairo,9
+305,,64
+302,Lima,17
+"""
+JSON_ROWS = """{"id": 401, "name": "Turin"}
+{"age": 200, "id": 402, "name": "Basel"}
+{"id": 402, "name": "Basel", "age": 200}
+{"id": 301, "name": "Osaka", "age": 40}
+{"id": 403, "name": null, "age": -2}
+{"name": "Delft", "age": 18}
+"""
 
 
 @pytest.fixture
 def drop(layout):
     """Write a file into the input folder."""
 
-    def write(name: str, text: str) -> None:
-        with open(f"{layout.input}/{name}", "w", encoding="utf-8") as f:
+    def write(name: str, text: str, modified: float | None = None) -> None:
+        path = f"{layout.input}/{name}"
+        with open(path, "w", encoding="utf-8") as f:
             f.write(text)
+        if modified is not None:
+            os.utime(path, (modified, modified))
 
     return write
 

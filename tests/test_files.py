@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from oreworks.sources import files
+from oreworks.sources import files, listing
 from oreworks.spec import PEOPLE
 
 from .conftest import CSV_ROWS, JSON_ROWS
@@ -63,12 +63,12 @@ def test_json_lines(spark, layout, drop, line, row):
 def test_sources_are_optional(spark, layout, drop):
     assert files.read_drop(spark, layout.input, PEOPLE.schema) is None
     drop("b.json", JSON_ROWS)
-    assert files.read_drop(spark, layout.input, PEOPLE.schema).count() == 4
+    assert files.read_drop(spark, layout.input, PEOPLE.schema).count() == 6
     drop("a.csv", CSV_ROWS)
     both = files.read_drop(spark, layout.input, PEOPLE.schema)
-    assert both.count() == 10
+    assert both.count() == 15
     kinds = both.groupBy(F.regexp_extract("source_file", r"/([^/]*)$", 1).alias("file")).count()
-    assert {r["file"]: r["count"] for r in kinds.collect()} == {"a.csv": 6, "b.json": 4}
+    assert {r["file"]: r["count"] for r in kinds.collect()} == {"a.csv": 9, "b.json": 6}
 
 
 def test_other_read_errors_are_raised(spark):
@@ -76,10 +76,10 @@ def test_other_read_errors_are_raised(spark):
         return spark.read.format("no_such_format").load("/nowhere")
 
     with pytest.raises(Exception) as error:
-        files.if_present(fails)
+        listing.if_present(fails)
     assert "PATH_NOT_FOUND" not in str(error.value)
     with pytest.raises(AnalysisException):
-        files.if_present(lambda: spark.range(1).select("missing"))
+        listing.if_present(lambda: spark.range(1).select("missing"))
 
 
 def test_stamp_is_one_time_per_query(spark):

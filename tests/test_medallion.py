@@ -22,9 +22,9 @@ NOON = datetime(2024, 3, 1, 12, tzinfo=timezone.utc)
 @pytest.mark.parametrize(
     ("with_csv", "with_json", "want", "silver"),
     [
-        (True, False, [6, 1, 1, 1, 1], 5),
-        (False, True, [4, 1, 1, 0, 1], 3),
-        (True, True, [10, 2, 2, 1, 3], 7),
+        (True, False, [9, 1, 2, 1, 3], 6),
+        (False, True, [6, 1, 1, 2, 1], 5),
+        (True, True, [15, 2, 3, 3, 6], 9),
     ],
 )
 def test_small_drops(spark, layout, drop, with_csv, with_json, want, silver):
@@ -63,8 +63,8 @@ def test_gate_halts_and_keeps_older_layers(spark, layout, drop):
     result = run_medallion(spark, PEOPLE, layout, at=NOON + timedelta(hours=1))
     assert result.status == "halted" and not result.ok
     tables = layer_tables(spark, PEOPLE, layout)
-    assert tables["bronze"].read().count() == 26
-    assert tables["silver"].read().count() == 5
+    assert tables["bronze"].read().count() == 29
+    assert tables["silver"].read().count() == 6
     incident = read_incidents(spark, layout.trace).first()
     assert (incident.status, incident.task_id) == ("CRITICAL", "validation_step")
     assert incident.run_id == f"run_{int(NOON.timestamp()) + 3600}"
@@ -90,7 +90,53 @@ def test_failed_silver_leaves_the_metrics_row(spark, layout, drop, monkeypatch):
     with pytest.raises(RuntimeError):
         run_medallion(spark, PEOPLE, layout)
     row = read_rows(spark, layout.dq_metrics, metrics_schema(PEOPLE)).first()
-    assert (row.total_rows, row.duplicate_ids) == (6, 1)
+    assert (row.total_rows, row.duplicate_ids) == (9, 3)
+
+
+def test_first_error_is_raised_when_recording_it_fails_too(spark, layout, drop, monkeypatch):
+    drop("a.csv", CSV_ROWS)
+
+    def broken(*_, **__):
+        raise RuntimeError("first")
+
+    def broken_too(*_, **__):
+        raise OSError("second")
+
+    monkeypatch.setattr(medallion, "silver_rows", broken)
+    monkeypatch.setattr(medallion, "check_quality", broken_too)
+    monkeypatch.setattr(medallion, "log_incident", broken_too)
+    with pytest.raises(RuntimeError, match="first"):
+        run_medallion(spark, PEOPLE, layout)
+
+
+def test_shuffle_partitions_follow_the_bronze_bytes(spark, layout, drop, monkeypatch):
+    drop("a.csv", CSV_ROWS)
+    seen = []
+    rows = medallion.silver_rows
+
+    def watched(*args):
+        seen.append(int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return rows(*args)
+
+    monkeypatch.setattr(medallion, "silver_rows", watched)
+    monkeypatch.setattr(medallion, "SHUFFLED_PER_STORED", 10**6)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    run_medallion(spark, PEOPLE, layout)
+    size = layer_tables(spark, PEOPLE, layout)["bronze"].commit_at().metric("numOutputBytes")
+    assert seen == [-(-size * 10**6 // (128 << 20))]
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_fuller_row_stays(spark, layout, drop):
+    drop("a.csv", "id,name,age\n1,Ann,\n1,Ann,30\n2,,7\n2,Bo,7\n")
+    run_medallion(spark, PEOPLE, layout)
+    silver = layer_tables(spark, PEOPLE, layout)["silver"].read()
+    assert sorted(tuple(r) for r in silver.select("id", "name", "age").collect()) == [(1, "Ann", 30), (2, "Bo", 7)]
+
+
+def test_batch_ids_name_their_writer(spark, layout):
+    with pytest.raises(ValueError, match="batch id"):
+        run_medallion(spark, PEOPLE, layout, batch_id="b")
 
 
 def test_silver_modes(spark, layout):

@@ -2,15 +2,15 @@ from __future__ import annotations
 
 import os
 import time
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from oreworks.functions import text
 from oreworks.operators import monitor, profile
-from oreworks.sources.rowlog import append_rows, one_row, read_rows
+from oreworks.sources.rowlog import append_rows, merge_closed_months, one_row, read_newest_month, read_rows
 
 
 def value(spark, column):
@@ -86,13 +86,40 @@ def test_file_profile(spark, tmp_path):
     texts = {
         "s9bytes_a b.csv": "id,name,age\n1,Ann,\n1,Ann,\n1,Ann,\n2, ,5\n",
         "deep/c.csv": 'id,name,age\n1,"A,""B""",3\n"1","A,""B""",3\n1,"A,B",3\n',
+        "deep/wide.csv": "id,name,age,city\n1,a,2,x\n1,a,2,y\n2,b,3\n3,c\n2,b,3\n4,,5,z,over\n,a,2,x\n,b,2,x\n",
         "deep/skip.json": "{}",
     }
     for name, body in texts.items():
         path = tmp_path / name
         path.parent.mkdir(exist_ok=True)
         path.write_text(body)
-    rows = profile.profile_csv_files(spark, str(tmp_path), ["id", "name", "age"]).collect()
+    rows = profile.profile_csv_files(spark, str(tmp_path)).collect()
     got = {os.path.basename(r.profile_name): (r.n_rows, r.duplicate_rows, r.empty_cells, r.size_bytes) for r in rows}
     a, c = (len(texts[n].encode()) for n in ("s9bytes_a b.csv", "deep/c.csv"))
-    assert got == {f"s{a}d2n4_a b.csv": (4, 2, 4, a), f"s{c}d1n0_c.csv": (3, 1, 0, c)}
+    w = len(texts["deep/wide.csv"])
+    assert got == {
+        f"s{a}d2n4_a b.csv": (4, 2, 4, a),
+        f"s{c}d1n0_c.csv": (3, 1, 0, c),
+        f"s{w}d1n3_wide.csv": (8, 1, 3, w),
+    }
+
+
+def test_closed_months_are_merged(spark, tmp_path):
+    path, schema = str(tmp_path / "log"), StructType([StructField("n", LongType())])
+    times = [datetime(2024, m, d, tzinfo=timezone.utc) for m, d in ((1, 3), (1, 9), (2, 1), (3, 5))]
+    for n, at in enumerate(times):
+        append_rows(spark.range(n, n + 1).toDF("n"), path, f"r{n}", at)
+    everything = lambda: sorted(r.n for r in read_rows(spark, path, schema).collect())
+    assert everything() == [0, 1, 2, 3]
+    assert [r.n for r in read_newest_month(spark, path, schema).collect()] == [3]
+    assert merge_closed_months(spark, path, schema, now=times[-1]) == ["2024-01", "2024-02"]
+    assert everything() == [0, 1, 2, 3] and sorted(os.listdir(tmp_path / "log" / "records")) == ["month=2024-03"]
+    # A merge that died after its table was written is finished by the next one, and nothing counts twice.
+    spark.range(9).toDF("n").write.parquet(f"{path}/records/month=2024-01/record_id=left")
+    assert everything() == [0, 1, 2, 3]
+    assert merge_closed_months(spark, path, schema, now=times[-1]) == []
+    assert everything() == [0, 1, 2, 3] and not os.path.exists(f"{path}/records/month=2024-01")
+    # A record again under its id replaces itself; one of a closed month goes to the present one.
+    append_rows(spark.range(7, 8).toDF("n"), path, "r3", times[-1])
+    append_rows(spark.range(5, 6).toDF("n"), path, "r0", times[0])
+    assert everything() == [0, 1, 2, 5, 7]

@@ -57,7 +57,7 @@ def test_date_filter_prunes_partitions_of_every_version(spark, sf_dir, tmp_path,
     table.overwrite(rows, rebalance=True)
     table.append(rows)
     table.update("id = 3", {"age": "1"})
-    df = table.read().where("processed_date = date '2024-01-15' and age > 10").select("id")
+    df = table.read().where("processed_date >= date '2024-01-15' and age > 10").select("id")
     df.explain("formatted")
     plan = capsys.readouterr().out
     partition, pushed = (re.search(rf"^{name}: (.*)$", plan, re.M).group(1) for name in ("PartitionFilters", "PushedFilters"))
@@ -67,5 +67,5 @@ def test_date_filter_prunes_partitions_of_every_version(spark, sf_dir, tmp_path,
 
 
 def test_no_python_in_any_plan(spark, sf_dir):
-    for name in ("silver", "gold", "dq_metrics", "distinct_rows", "file_profile", "commit_log_replay", "generate_people"):
+    for name in ("silver", "gold", "dq_metrics", "distinct_rows", "file_profile", "generate_people"):
         assert not re.search(r"Python|Pandas|ArrowEval", plan_of(catalog.QUERIES[name](spark, sf_dir))), name
