@@ -18,7 +18,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreworks.llm.common import ascii_lower, connected_components, written
@@ -178,13 +178,6 @@ def keep_one_per_group(docs: DataFrame) -> DataFrame:
     """
     groups = near_duplicate_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(groups, "doc_id", "left_semi")
-    ordered = [F.xxhash64("text"), F.xxhash64(*docs.columns)]
-    w = F.row_number().over(_window("doc_id", ordered))
-    once = kept.withColumn("_copy", w).where("_copy = 1").drop("_copy")
+    copies = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    once = kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
     return once.unionByName(docs.where("doc_id is null"))
-
-
-def _window(key: str, order: list):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(key).orderBy(*order)

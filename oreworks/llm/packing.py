@@ -194,7 +194,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     """
     spark = pieces.sparkSession
     order = ["length", *[c for c in ("doc_id", "piece") if c in pieces.columns]]
-    ranked = with_rank(pieces, *order)
+    ranked = with_rank(pieces, *order, rank="_rank")
     histogram = {r[0]: r[1] for r in ranked.groupBy("length").count().collect()}
     before, start = {}, 0
     for length in sorted(histogram):
@@ -209,8 +209,8 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
         slots = F.broadcast(slots)
     return (
         ranked.join(slots, "length")
-        .where("rank >= _from and rank < _to")
-        .withColumn("sequence_id", F.col("_sequence") + F.col("rank") - F.col("_from"))
+        .where("_rank >= _from and _rank < _to")
+        .withColumn("sequence_id", F.col("_sequence") + F.col("_rank") - F.col("_from"))
         .select(*pieces.columns, "sequence_id", "offset")
     )
 

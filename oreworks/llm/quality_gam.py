@@ -68,7 +68,7 @@ def text_features(text: str | None) -> np.ndarray:
     lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
     lines = [line for line in data.split(b"\n") if line.strip()]
     ends = b"".join([w[-1:] for w in words])
-    letter_ends = sum(map(ends.count, (bytes([c]) for c in _LETTERS + b".,"))) + sum(c > 127 for c in set(ends)) * 0
+    letter_ends = sum(map(ends.count, (bytes([c]) for c in _LETTERS + b".,")))
     out[:] = [
         np.log1p(n),
         np.log1p(len(words)),
@@ -162,9 +162,9 @@ def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
-    """Cyclic boosting of the logistic loss. Without rows, or with one label only, scores are the smoothed label mean."""
+    """Cyclic boosting of the logistic loss. With one label only, scores are the label mean; without labels they are near 1."""
     n, k = x.shape
-    mean = (y.sum() + 1) / (n + 2)
+    mean = float(np.clip((y.sum() + 2) / (n + 2), 1e-3, 1 - 1e-3))
     base = float(np.log(mean / (1 - mean)))
     edges = [_edges(x[:, j], BINS) if n else np.empty(0) for j in range(k)]
     coarse = [_edges(x[:, j], COARSE) if n else np.empty(0) for j in range(k)]

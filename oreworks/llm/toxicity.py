@@ -29,8 +29,10 @@ WIDTH = 12
 # Words of the sample that get a vector of their own; all others are read by their characters.
 LEAST_USES, MOST_WORDS = 8, 20_000
 CHAR_ROWS = 1 << 14
-# Labelled documents a model is fitted on at most, and windows read of one of them per pass while training.
+# Labelled documents a model is fitted on at most, evenly spaced windows taken of one of them, and windows
+# read of it per pass. Scoring reads all windows.
 SAMPLE_ROWS = 4_000
+KEPT_WINDOWS = 64
 TRAIN_WINDOWS = 24
 EPOCHS = 4
 BATCH_DOCS = 32
@@ -248,21 +250,34 @@ class _Trainer:
         self.net.p[k][at] -= RATE * (m / (1 - 0.9**self.step)) / (np.sqrt(s / (1 - 0.99**self.step)) + 1e-6)
 
 
-def fit(texts: list[str | None], y: np.ndarray, seed: int = 7) -> Network:
-    """Learns from labelled texts. Without both labels every score is the smoothed label mean."""
-    split = [words_of(t) for t in texts]
-    uses = Counter(w for s in split for w in set(s))
-    own = sorted((w for w, n in uses.items() if n >= LEAST_USES), key=lambda w: (-uses[w], w))[:MOST_WORDS]
-    rate = (y.sum() + 1) / (len(y) + 2)
-    net = Network.fresh({w: i + 1 for i, w in enumerate(own)}, rate, seed)
+def training_windows(text: str | None) -> list[str]:
+    """At most KEPT_WINDOWS windows of a text, evenly spaced, as space-joined words."""
+    words = words_of(text)
+    count = max(0, -(-(len(words) - WINDOW) // STRIDE)) + 1
+    chosen = np.unique(np.linspace(0, count - 1, min(count, KEPT_WINDOWS)).astype(int)).tolist()
+    return [" ".join(words[i * STRIDE : i * STRIDE + WINDOW]) for i in chosen]
+
+
+def fit(samples: list[list[str]], y: np.ndarray, seed: int = 7) -> Network:
+    """Learns from the windows of labelled texts. Without both labels every score is the label mean, near 0 without labels."""
+    number: dict[str, int] = {}
+    docs, uses = [], Counter()
+    for windows_of in samples:
+        ids = np.zeros((len(windows_of), WINDOW), np.int64)
+        for i, window in enumerate(windows_of):
+            some = [number.setdefault(w, len(number) + 1) for w in window.split()]
+            ids[i, : len(some)] = some
+        docs.append(ids)
+        uses.update(np.unique(ids[ids > 0]).tolist())
+    names = list(number)
+    own = sorted((i for i, n in uses.items() if n >= LEAST_USES), key=lambda i: (-uses[i], names[i - 1]))[:MOST_WORDS]
+    rate = float(np.clip(y.sum() / (len(y) + 2), 1e-3, 1 - 1e-3))
+    net = Network.fresh({names[i - 1]: k + 1 for k, i in enumerate(own)}, rate, seed)
     if len(y) < 2 or y.min() == y.max():
         net.p["u"][:] = 0
         return net
-    number = {w: i + 1 for i, w in enumerate(sorted(uses))}
-    names = list(number)
     pieces = [np.empty(0, np.int64), *[np.array(char_pieces(w)) for w in names]]
     vocabulary = np.array([0, *[net.words.get(w, 0) for w in names]])
-    docs = [windows(np.array([number[w] for w in s], dtype=np.int64)) for s in split]
     rng = np.random.default_rng(seed)
     trainer = _Trainer(net)
     for _ in range(EPOCHS):
@@ -291,8 +306,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     """Fits on at most SAMPLE_ROWS labelled documents outside the held-out fold; NULL labels and labels without a document are left out."""
     sample = labelled_sample(labels, "toxic", FOLDS, HELD_OUT, SAMPLE_ROWS)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most SAMPLE_ROWS ids
-    rows = joined.orderBy("doc_id").collect()
-    return fit([r.text for r in rows], np.array([r.y for r in rows], dtype=np.float32))
+    windows_of = F.pandas_udf(lambda texts: texts.map(training_windows), "array<string>")
+    rows = joined.select("doc_id", "y", windows_of("text").alias("windows")).orderBy("doc_id").collect()
+    return fit([r.windows for r in rows], np.array([r.y for r in rows], dtype=np.float32))
 
 
 def _score_udf(net: Network):
