@@ -139,29 +139,26 @@ class Network:
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """Of the worst window of each text; an empty text has one empty window."""
         worst = np.full(len(texts), -np.inf)
-        split = [words_of(t) for t in texts]
         at = 0
         while at < len(texts):  # texts by the hundred thousand words, so that memory is bounded
-            end, n = at, 0
-            while end < len(texts) and (n < 100_000 or end == at):
-                n += len(split[end])
-                end += 1
-            rows = self._ids([w for s in split[at:end] for w in s])
+            split, n = [], 0
+            while at + len(split) < len(texts) and n < 100_000:
+                split.append(words_of(texts[at + len(split)]))
+                n += len(split[-1])
+            rows = self._ids([w for s in split for w in s])
             first = 0
             ids, owner = [], []
-            for k in range(at, end):
-                mine = rows[first : first + len(split[k])]
-                first += len(split[k])
-                w = windows(mine)
-                ids.append(w)
-                owner.append(np.full(len(w), k))
+            for k, words in enumerate(split, at):
+                ids.append(windows(rows[first : first + len(words)]))
+                owner.append(np.full(len(ids[-1]), k))
+                first += len(words)
             ids, owner = np.concatenate(ids), np.concatenate(owner)
+            at += len(split)
             for i in range(0, len(ids), SCORE_WINDOWS):
                 some = ids[i : i + SCORE_WINDOWS].T
                 x = self._inputs[some]
                 odds = self.window_odds(x[:, :, : 3 * HIDDEN], x[:, :, 3 * HIDDEN :], some > 0)
                 np.maximum.at(worst, owner[i : i + SCORE_WINDOWS], odds)
-            at = end
         return _sigmoid(np.clip(worst, -30, 30))
 
 
