@@ -27,7 +27,7 @@ SEQUENCE = 4096
 # A plan has a few rows per length; one within this bound is broadcast (32 bytes a row), a larger one is joined by shuffle.
 BROADCAST_PLAN_ROWS = 200_000
 # Bounds of a worker's memory of encoded words; what is forgotten is encoded anew.
-REMEMBERED_WORDS = 600_000
+REMEMBERED_WORDS = 1_000_000
 REMEMBERED_CHARS = 48
 
 
