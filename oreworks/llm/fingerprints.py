@@ -67,7 +67,8 @@ def within_radius(queries: DataFrame, index: DataFrame, radius: int = RADIUS, bl
     def key(fingerprint: Column, table: list[tuple[int, int]]) -> Column:
         out = F.lit(0).cast("long")
         for first, n in table:
-            part = F.shiftrightunsigned(fingerprint, first).bitwiseAND(F.lit((1 << n) - 1))
+            mask = F.lit((1 << n) - 1 if n < BITS else -1)
+            part = F.shiftrightunsigned(fingerprint, first).bitwiseAND(mask)
             out = F.shiftleft(out, n).bitwiseOR(part)
         return out
 
@@ -104,7 +105,7 @@ def _bucket_ends(rows: DataFrame) -> DataFrame:
     n = ranked.count()
     following = ranked.select(F.col("rank").alias("next_rank"), F.col("bucket").alias("next_bucket"), F.col("first").alias("next"))
     return ranked.withColumn("next_rank", (F.col("rank") + 1) % n).join(following, "next_rank").select(
-        "bucket", F.col("n").cast("int").alias("place"), "next_bucket", "last.doc_id", "last.mix", F.col("next.doc_id").alias("next_id"), F.col("next.mix").alias("next_mix")
+        "bucket", F.col("n").alias("place"), "next_bucket", "last.doc_id", "last.mix", F.col("next.doc_id").alias("next_id"), F.col("next.mix").alias("next_mix")
     )
 
 
@@ -121,7 +122,7 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     inside = Window.partitionBy("bucket").orderBy("doc_id", "mix")
     placed = rows.withColumns(
         {
-            "place": F.row_number().over(inside),
+            "place": F.row_number().over(inside).cast("long"),
             "next_id": F.lead("doc_id").over(inside),
             "next_text": F.lead("text").over(inside),
         }
@@ -136,7 +137,7 @@ def edited_texts(docs: DataFrame) -> DataFrame:
     texts = rows.select("doc_id", "mix", "text").join(wanted, ["doc_id", "mix"])
     texts = written(texts.dropDuplicates(["doc_id", "mix"]), "end_texts")
     nexts = texts.select(F.col("doc_id").alias("next_id"), F.col("mix").alias("next_mix"), F.col("text").alias("next_text"))
-    ends = ends.join(texts, ["doc_id", "mix"]).join(nexts, ["next_id", "next_mix"]).withColumn("next_place", F.lit(1))
+    ends = ends.join(texts, ["doc_id", "mix"]).join(nexts, ["next_id", "next_mix"]).withColumn("next_place", F.lit(1).cast("long"))
     quarter = F.floor(F.length("text") / 4).cast("int")
     edited = F.concat(F.expr("left(text, length(text) - length(text) div 4)"), F.col("next_text").substr(F.lit(1), quarter))
     out = ["bucket", "place", "doc_id", "text", edited.alias("edited"), "next_bucket", "next_place"]
@@ -153,12 +154,12 @@ def fingerprint_digest(docs: DataFrame) -> DataFrame:
     pairs = edited_texts(docs)
     alone = docs.where("doc_id is null").select(
         F.lit(None).cast("long").alias("bucket"),
-        F.monotonically_increasing_id().cast("int").alias("place"),
+        F.monotonically_increasing_id().alias("place"),
         "doc_id",
         F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce("text", F.lit("")).alias("edited"),
         F.lit(None).cast("long").alias("next_bucket"),
-        F.lit(None).cast("int").alias("next_place"),
+        F.lit(None).cast("long").alias("next_place"),
     )
     key = ["bucket", "place", "doc_id", "next_bucket", "next_place", "n_chars", "edited_sha256", "edited"]
     both = pairs.unionByName(alone).select(

@@ -17,6 +17,8 @@ from oreworks.llm.common import with_rank, written
 
 SHARDS = 8
 ROUNDS = 6
+# Members of a group meet their group's counts in so many parts, so that a hot group is no hot key.
+SALTS = 64
 # Movers of a pair of shards are admitted by whole steps of this many parts.
 STEPS = 1024
 
@@ -26,8 +28,14 @@ def capacities(n: int, shards: int) -> list[int]:
     return [(n + shards - 1 - s) // shards for s in range(shards)]
 
 
+def _to_members(members: DataFrame, of_group: DataFrame) -> DataFrame:
+    """Values per group joined to the members (id, group, salt, ..); at most SALTS rows of a group meet by group alone."""
+    salted = members.select("group", "salt").distinct().join(of_group, "group")
+    return members.join(salted, ["group", "salt"])
+
+
 def _wishes(members: DataFrame, state: DataFrame, shards: int) -> DataFrame:
-    """(id, shard, wish, step): the shard that holds most of the document's groups, itself included.
+    """(id, shard, wish, first, members): the shard that holds most of the members of the document's groups, itself counted once.
 
     Ties go round from a shard that the smallest group's hash names, so members of a group agree.
     """
@@ -36,9 +44,10 @@ def _wishes(members: DataFrame, state: DataFrame, shards: int) -> DataFrame:
         *[F.count_if(F.col("shard") == s).alias(f"c{s}") for s in range(shards)], F.count(F.lit(1)).alias("_all")
     )
     votes = (
-        placed.join(counts, "group")
+        _to_members(placed, counts)
         .groupBy("id", "shard")
         .agg(
+            F.count(F.lit(1)).alias("groups"),
             *[F.sum(f"c{s}").alias(f"c{s}") for s in range(shards)],
             F.min(F.xxhash64("group")).alias("first"),
             F.max("_all").alias("_all"),
@@ -46,7 +55,7 @@ def _wishes(members: DataFrame, state: DataFrame, shards: int) -> DataFrame:
     )
     ranked = [
         F.struct(
-            F.col(f"c{s}").alias("votes"),
+            (F.col(f"c{s}") - F.when(F.col("shard") == s, F.col("groups") - 1).otherwise(0)).alias("votes"),
             F.pmod(F.lit(s) - F.pmod("first", F.lit(shards)), F.lit(shards)).alias("turn"),
             F.lit(s).alias("shard"),
         )
@@ -90,7 +99,7 @@ def _by_step():
 
 
 def propagate(members: DataFrame, state: DataFrame, capacity: list[int], rounds: int = ROUNDS) -> DataFrame:
-    """members (id, group), state (id, shard) of all linked ids -> state after at most ``rounds`` rounds.
+    """members (id, group, salt), state (id, shard) of all linked ids -> state after at most ``rounds`` rounds.
 
     No shard ever holds more linked ids than its capacity, if it did not at the start. Each round is written.
     """
@@ -143,8 +152,10 @@ def balanced_shards(nodes: DataFrame, members: DataFrame, shards: int = SHARDS)
     n = nodes.count()
     capacity = capacities(n, shards)
     members = members.where(F.col("group").isNotNull()).select("id", "group").distinct()
-    sizes = members.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
-    members = written(members.join(sizes, "group"), "members")
+    members = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    parts = members.groupBy("group", "salt").agg(F.count(F.lit(1)).alias("n"))
+    linked_groups = parts.groupBy("group").agg(F.sum("n").alias("n")).where("n > 1").select("group")
+    members = written(_to_members(members, linked_groups).select("id", "group", "salt"), "members")
     linked = members.groupBy("id").agg(F.min("group").alias("group"))
     start = written(linked.select("id", "group", (F.col("id") % shards).cast("int").alias("shard")), "start")
     state = propagate(members, start.select("id", "shard"), capacity)

@@ -1,0 +1,35 @@
+from __future__ import annotations
+
+import pytest
+
+AWKWARD = "doc_id long, text string, row int, rank int, label string, words array<string>, tags map<string,int>"
+
+
+@pytest.fixture
+def awkward(spark):
+    """NULLs, empty and blank texts, repeated rows, a long word and a long text, and columns named like the operators' own."""
+    texts = [
+        (1, "Alpha beta gamma delta epsilon zeta eta theta"),
+        (1, "Alpha beta gamma delta epsilon zeta eta theta"),
+        (2, None),
+        (3, ""),
+        (4, " \n\t "),
+        (5, "Alpha beta gamma delta epsilon zeta eta theta"),
+        (None, "no id at all"),
+        (None, None),
+        (6, "x" * 5000),
+        (7, "word " * 6000),
+        (8, "Ünïcödé 漢字 🙂 don't é <|endoftext|> 12 kg"),
+        (-9, "negative id"),
+    ]
+    rows = [(i, t, n, -n, "l", ["w"], {"k": n}) for n, (i, t) in enumerate(texts)]
+    return spark.createDataFrame(rows, AWKWARD).repartition(3)
+
+
+@pytest.fixture
+def no_docs(spark):
+    return spark.createDataFrame([], AWKWARD)
+
+
+def documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -1,0 +1,102 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from oreworks.llm import decontaminate
+
+from .conftest import documents
+
+ITEM = "A train leaves the town with 42 people and travels 120 km in 3 hours, so how fast did Maria travel that day?"
+OTHER = "A train leaves the town with 17 people and travels 300 miles in 5 hours, so how fast did Peter travel that day?"
+TWICE = "Take 5 apples from the box and give 5 apples to the girl who has 7 pears in her hand"
+BENCH = [(1, ITEM), (2, TWICE), (3, "what is seven plus one"), (4, None), (5, ""), (None, "no id item of some words here and there")]
+
+
+@pytest.fixture
+def bench(spark):
+    return spark.createDataFrame([(i, t, "h", 1) for i, t in BENCH], "item_id long, text string, h string, width int")
+
+
+def found(spark, bench, *texts):
+    docs = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "doc_id long, text string, canon string")
+    return {r.doc_id: r for r in decontaminate.contaminated(docs, bench).collect()}
+
+
+def test_copies_and_reworded_questions(spark, bench):
+    rows = found(
+        spark,
+        bench,
+        f"intro words, {ITEM} and more",
+        f"Intro words. {OTHER}",
+        "A train leaves the town with many friends and then something else happens to all of them",
+        "Take 9 apples from the box and give 9 apples to the girl who has 2 pears in her hand",
+        "Take 9 apples from the box and give 8 apples to the girl who has 2 pears in her hand",
+        "tell me: What is seven plus one?",
+        None,
+        "",
+    )
+    assert {i: r.item_ids for i, r in rows.items()} == {0: [1], 1: [1], 3: [2], 5: [3]}
+    assert rows[1].n_slots >= 4 and rows[1].coverage > 0.9
+
+
+def test_part_of_an_item_is_not_the_item(spark, bench):
+    words = ITEM.split()
+    rows = found(spark, bench, " ".join(words[:9]) + " other end", " ".join(words[4:]) + " so far")
+    assert set(rows) == {1}
+
+
+def test_canonical_words(spark):
+    text = "In 1999 Anna met Bob, and 12 kg of 5kg İtem. Then Carl"
+    row = spark.createDataFrame([(text,)], "t string").select(
+        decontaminate.canonical_words(F.col("t")).alias("c"),
+        decontaminate.raw_words(F.col("t")).alias("r"),
+    ).first()
+    n, m, u = decontaminate.NUMBER, decontaminate.NAME, decontaminate.UNIT
+    assert row.c == ["in", n, m, "met", m, "and", n, u, "of", n, u, m, "then", m]
+    assert row.r == ["In", "1999", "Anna", "met", "Bob", "and", "12", "kg", "of", "5", "kg", "İtem", "Then", "Carl"]
+
+
+def words(text):
+    return re.findall(r"[^\W\d_]+|\d+", text.lower())
+
+
+def test_whole_table_against_brute_force(spark, sf_dir):
+    """Plain eight-word windows: the benchmark of the tables has verbatim passages only."""
+    docs = documents(spark, sf_dir)
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    grams = {}
+    for r in bench.collect():
+        w = words(r.text)
+        for i in range(len(w) - 7):
+            grams.setdefault(tuple(w[i : i + 8]), set()).add(r.item_id)
+    want = {}
+    for r in docs.collect():
+        w = words(r.text)
+        items = set().union(*[grams.get(tuple(w[i : i + 8]), ()) for i in range(max(0, len(w) - 7))])
+        if items:
+            want[r.doc_id] = sorted(items)
+    got = {r.doc_id: r.item_ids for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == want and got
+    kept = decontaminate.without_contaminated(docs, bench)
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()} - set(want)
+
+
+def test_large_benchmark_is_joined_by_shuffle(spark, bench, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert set(found(spark, bench, f"x {ITEM}", "clean words of no interest to anyone at all here")) == {0}
+
+
+def test_awkward_rows(spark, awkward, no_docs, bench):
+    assert decontaminate.contaminated(awkward, bench).count() == 0
+    assert decontaminate.without_contaminated(awkward, bench).count() == 12
+    assert decontaminate.contaminated(no_docs, bench).count() == 0
+    none = bench.where("false")
+    assert decontaminate.contaminated(awkward, none).count() == 0
+    twice = spark.createDataFrame([(7, ITEM), (7, ITEM), (None, ITEM)], "doc_id long, text string")
+    rows = {r.doc_id: r.item_ids for r in decontaminate.contaminated(twice, bench).collect()}
+    assert rows == {7: [1], None: [1]}
+    assert [r.doc_id for r in decontaminate.without_contaminated(twice, bench).collect()] == [None]
