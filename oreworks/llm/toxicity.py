@@ -34,9 +34,16 @@ CHAR_ROWS = 1 << 14
 SAMPLE_ROWS = 4_000
 KEPT_WINDOWS = 64
 TRAIN_WINDOWS = 24
-EPOCHS = 4
+# Documents read while training, over all passes: a small sample is read more often.
+READINGS = 16_000
 BATCH_DOCS = 32
-RATE = 0.01
+RATE = 0.008
+# Share of words whose own vector is left out of a step, so that characters are learned too, and
+# windows of a clean document that a step learns from (of a toxic one its worst only). Through the first
+# share of the readings a step takes that many windows of any document at random, to find out which words tell.
+LEFT_OUT = 0.5
+CLEAN_WINDOWS = 3
+FIRST_SHARE = 0.5
 # Windows scored at a time, and the bound of a worker's memory of word inputs.
 SCORE_WINDOWS = 2048
 REMEMBERED_WORDS = 200_000
@@ -277,7 +284,8 @@ def fit(samples: list[list[str]], y: np.ndarray, seed: int = 7) -> Network:
     vocabulary = np.array([0, *[net.words.get(w, 0) for w in names]])
     rng = np.random.default_rng(seed)
     trainer = _Trainer(net)
-    for _ in range(EPOCHS):
+    passes = max(1, -(-READINGS // len(docs)))
+    for number_of_pass in range(passes):
         order = rng.permutation(len(docs))
         for at in range(0, len(order), BATCH_DOCS):
             some = order[at : at + BATCH_DOCS]
@@ -286,13 +294,22 @@ def fit(samples: list[list[str]], y: np.ndarray, seed: int = 7) -> Network:
             used = np.unique(ids)
             inputs = np.zeros((int(used[-1]) + 1, 2 * WIDTH), np.float32)
             real = used[used > 0]
+            left_out = rng.random(len(vocabulary)) < LEFT_OUT
             if len(real):
                 inputs[real] = net.inputs_of([names[i - 1] for i in real])
+                inputs[real, :WIDTH] *= ~left_out[real, None]
             x = inputs[ids]
             odds = net.window_odds(x @ net.p["Wf"] + net.p["cf"], x @ net.p["Wb"] + net.p["cb"], ids > 0)
-            starts = np.r_[0, np.cumsum([len(w) for w in picked])[:-1]]
-            worst = [s + int(odds[s : s + len(w)].argmax()) for s, w in zip(starts, picked, strict=True)]
-            trainer.learn(ids[:, worst], y[some], vocabulary, pieces, inputs)
+            first, worst, truth = 0, [], []
+            for k, w in zip(some, picked, strict=True):
+                if number_of_pass < FIRST_SHARE * passes:
+                    top = rng.permutation(len(w))[:CLEAN_WINDOWS]
+                else:
+                    top = np.argsort(-odds[first : first + len(w)], kind="stable")[: 1 if y[k] else CLEAN_WINDOWS]
+                worst += (first + top).tolist()
+                truth += [y[k]] * len(top)
+                first += len(w)
+            trainer.learn(ids[:, worst], np.array(truth, np.float32), np.where(left_out, 0, vocabulary), pieces, inputs)
     return net
 
 
