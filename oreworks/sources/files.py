@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from oreworks.sources.listing import if_present
+from oreworks.sources.listing import any_file
 
 
 def read_csv(
@@ -63,10 +63,11 @@ def read_drop(
     spark: SparkSession, folder: str, schema: T.StructType, *, file_column: str = "source_file"
 ) -> DataFrame | None:
     """Every ``*.csv`` and ``*.json`` file of a folder as one frame with its source file."""
+    csv, json = f"{folder}/*.csv", f"{folder}/*.json"
     return union_sources(
         [
-            if_present(lambda: read_csv(spark, f"{folder}/*.csv", schema, file_column=file_column)),
-            if_present(lambda: read_json(spark, f"{folder}/*.json", schema, file_column=file_column)),
+            read_csv(spark, csv, schema, file_column=file_column) if any_file(spark, csv) else None,
+            read_json(spark, json, schema, file_column=file_column) if any_file(spark, json) else None,
         ]
     )
 

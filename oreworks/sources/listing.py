@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,14 +60,10 @@ def list_files(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFr
     )
 
 
-def if_present(read: Callable[[], DataFrame]) -> DataFrame | None:
-    """Result of ``read``, or None when its path has no files; other errors are raised."""
-    try:
-        return read()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+def any_file(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path pattern matches anything; asked of the file system, so that no query has to fail for it."""
+    fs, target = _at(spark, pattern)
+    return bool(fs.globStatus(target))
 
 
 def total_bytes(spark: SparkSession, folder: str) -> int:
