@@ -18,6 +18,8 @@ WINDOW = 8
 COVERAGE = 0.5
 # A benchmark of at most this many windows is broadcast (32 bytes each); a larger one is joined by shuffle.
 BROADCAST_WINDOWS = 2_000_000
+# So many hashes or ids of documents found are broadcast at most (8 bytes each); more are joined by shuffle.
+BROADCAST_FOUND = 2_000_000
 
 NUMBER, NAME, UNIT = "0", "\ue000", "\ue001"
 # Unit words that may follow a number.
@@ -91,6 +93,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, cov
     return _judged(hits, docs, benchmark, coverage)
 
 
+def _broadcast_if_few(keys: DataFrame) -> DataFrame:
+    """A written table of keys, marked for broadcast if its count is within the bound."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_FOUND else keys
+
+
 def _row_key() -> Column:
     """The same for a row in every scan; equal rows are one."""
     return F.xxhash64("doc_id", "text").alias("row")
@@ -108,7 +115,7 @@ def _judged(hits: DataFrame, docs: DataFrame, benchmark: DataFrame, coverage: fl
     )
     items = items.select("item_id", "item_at", "word.c", F.lower("word.v").alias("item_value"))
     slots = covered.join(items.where(F.col("c").isin(NUMBER, NAME, UNIT)), ["item_id", "item_at"])
-    at_risk = slots.select("row").distinct()
+    at_risk = _broadcast_if_few(written(slots.select("row").distinct(), "at_risk"))
     values = docs.select(_row_key(), "text").join(at_risk, "row").dropDuplicates(["row"])
     slots = slots.join(values.select("row", raw_words(F.col("text")).alias("values")), "row")
     slots = slots.withColumn("doc_value", F.lower(F.get("values", F.col("shift") + F.col("item_at"))))
@@ -130,4 +137,4 @@ def _judged(hits: DataFrame, docs: DataFrame, benchmark: DataFrame, coverage: fl
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that hold no benchmark item, all columns. Rows without an id stay."""
     found = contaminated(docs, benchmark).where("doc_id is not null").select("doc_id")
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(_broadcast_if_few(written(found, "contaminated")), "doc_id", "left_anti").select(*docs.columns)

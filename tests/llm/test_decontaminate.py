@@ -87,6 +87,7 @@ def test_whole_table_against_brute_force(spark, sf_dir):
 
 def test_large_benchmark_is_joined_by_shuffle(spark, bench, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_FOUND", 0)
     assert set(found(spark, bench, f"x {ITEM}", "clean words of no interest to anyone at all here")) == {0}
 
 
