@@ -47,7 +47,8 @@ def test_held_out_labels_are_not_learned(spark, labels):
 
 
 @pytest.mark.parametrize(("operator", "score", "label"), [(quality_gam, "quality_scores", "quality"), (toxicity, "toxicity_scores", "toxic")])
-def test_awkward_rows(spark, awkward, no_docs, operator, score, label):
+def test_awkward_rows(spark, awkward, no_docs, monkeypatch, operator, score, label):
+    monkeypatch.setattr(toxicity, "READINGS", 200)
     run = getattr(operator, score)
     some = spark.createDataFrame(
         [(i, v, "x") for i, v in [(1, 1), (1, 0), (3, 0), (5, 1), (6, 0), (7, 1), (8, None), (99, 1), (None, 1), (-9, 0)]],
@@ -104,6 +105,7 @@ def test_gradients_against_differences():
 
 
 def test_scoring_does_not_depend_on_batches_or_memory(monkeypatch):
+    monkeypatch.setattr(toxicity, "READINGS", 1000)
     net = toxicity.fit([["good day to all"], ["you idiot person"]] * 20, np.array([0, 1] * 20, dtype=np.float32))
     texts = ["good " * 100, None, "an idiot " * 3, "", "unseen words only", "day " * 5000]
     whole = net.scores(texts)

@@ -11,6 +11,12 @@ from .conftest import documents
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def short_training(monkeypatch):
+    """The stages are held against the operators' own decisions, which need no good model."""
+    monkeypatch.setattr(toxicity, "READINGS", 1000)
+
+
 def test_stages_by_their_operators(spark, tmp_path):
     """Each stage on what its predecessor kept, against the operator's own decisions."""
     labels = spark.read.parquet(f"{SF}/labels.parquet")
