@@ -88,10 +88,13 @@ class Network:
 
     def inputs_of(self, words: list[str]) -> np.ndarray:
         """Input vectors: word, then mean of its character pieces."""
-        out = np.zeros((len(words), 2 * WIDTH), np.float32)
-        out[:, :WIDTH] = self.p["word"][[self.words.get(w, 0) for w in words]]
-        pieces = [char_pieces(w) for w in words]
-        if words:
+        rows = np.array([self.words.get(w, 0) for w in words], dtype=np.int64)
+        return self.inputs_from(rows, [char_pieces(w) for w in words])
+
+    def inputs_from(self, rows: np.ndarray, pieces: list) -> np.ndarray:
+        out = np.zeros((len(rows), 2 * WIDTH), np.float32)
+        out[:, :WIDTH] = self.p["word"][rows]
+        if len(rows):
             sizes = np.array([len(x) for x in pieces])
             sums = np.add.reduceat(self.p["char"][np.concatenate(pieces)], np.r_[0, sizes.cumsum()[:-1]])
             out[:, WIDTH:] = sums / sizes[:, None]
@@ -211,7 +214,7 @@ class _Trainer:
         return dx
 
     def learn(self, ids: np.ndarray, y: np.ndarray, vocabulary: np.ndarray, pieces: list[np.ndarray], inputs: np.ndarray) -> None:
-        """ids (time, n) of word numbers, 0 for none; vocabulary: row of the word table per word number."""
+        """ids (time, n) of word numbers, 0 for none; per word number its row of the word table, its pieces and its input."""
         net, p = self.net, self.net.p
         mask = ids > 0
         x_in = inputs[ids]
@@ -290,26 +293,27 @@ def fit(samples: list[list[str]], y: np.ndarray, seed: int = 7) -> Network:
         for at in range(0, len(order), BATCH_DOCS):
             some = order[at : at + BATCH_DOCS]
             picked = [docs[i] if len(docs[i]) <= TRAIN_WINDOWS else docs[i][rng.choice(len(docs[i]), TRAIN_WINDOWS, replace=False)] for i in some]
-            ids = np.concatenate(picked).T
-            used = np.unique(ids)
-            inputs = np.zeros((int(used[-1]) + 1, 2 * WIDTH), np.float32)
-            real = used[used > 0]
-            left_out = rng.random(len(vocabulary)) < LEFT_OUT
-            if len(real):
-                inputs[real] = net.inputs_of([names[i - 1] for i in real])
-                inputs[real, :WIDTH] *= ~left_out[real, None]
+            if number_of_pass < FIRST_SHARE * passes:
+                picked = [w[rng.permutation(len(w))[:CLEAN_WINDOWS]] for w in picked]
+            used, ids = np.unique(np.concatenate(picked), return_inverse=True)
+            ids = ids.reshape(-1, WINDOW).T + (used[0] > 0)
+            used = used if used[0] == 0 else np.concatenate([[0], used])
+            own_rows = np.where(rng.random(len(used)) < LEFT_OUT, 0, vocabulary[used])
+            inputs = np.zeros((len(used), 2 * WIDTH), np.float32)
+            inputs[1:] = net.inputs_from(own_rows[1:], [pieces[i] for i in used[1:]])
+            if number_of_pass < FIRST_SHARE * passes:
+                truth = np.repeat(y[some], [len(w) for w in picked])
+                trainer.learn(ids, truth, own_rows, [pieces[i] for i in used], inputs)
+                continue
             x = inputs[ids]
             odds = net.window_odds(x @ net.p["Wf"] + net.p["cf"], x @ net.p["Wb"] + net.p["cb"], ids > 0)
             first, worst, truth = 0, [], []
             for k, w in zip(some, picked, strict=True):
-                if number_of_pass < FIRST_SHARE * passes:
-                    top = rng.permutation(len(w))[:CLEAN_WINDOWS]
-                else:
-                    top = np.argsort(-odds[first : first + len(w)], kind="stable")[: 1 if y[k] else CLEAN_WINDOWS]
+                top = np.argsort(-odds[first : first + len(w)], kind="stable")[: 1 if y[k] else CLEAN_WINDOWS]
                 worst += (first + top).tolist()
                 truth += [y[k]] * len(top)
                 first += len(w)
-            trainer.learn(ids[:, worst], np.array(truth, np.float32), np.where(left_out, 0, vocabulary), pieces, inputs)
+            trainer.learn(ids[:, worst], np.array(truth, np.float32), own_rows, [pieces[i] for i in used], inputs)
     return net
 
 
