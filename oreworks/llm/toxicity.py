@@ -65,6 +65,12 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+def _sums(group: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of rows per group number below n, column by column."""
+    group = group.ravel()
+    return np.stack([np.bincount(group, column, n) for column in values.T], axis=1).astype(np.float32)
+
+
 @dataclass
 class Network:
     """Parameters by name, and the words with a vector of their own (row 0: none)."""
@@ -234,8 +240,7 @@ class _Trainer:
         dboth = a[:, :, None] * dpooled + dat[:, :, None] * p["v"]
         dx = self._back("f", dboth[:, :, :HIDDEN], kept["f"], x_in, g) + self._back("b", dboth[:, :, HIDDEN:], kept["b"], x_in, g)
         used, where = np.unique(ids[mask], return_inverse=True)
-        per_word = np.zeros((len(used), 2 * WIDTH), np.float32)
-        np.add.at(per_word, where, dx[mask])
+        per_word = _sums(where, dx[mask], len(used))
         self.step += 1
         for k, grad in g.items():
             self._adam(k, slice(None), grad)
@@ -246,9 +251,8 @@ class _Trainer:
         if of:
             sizes = np.array([len(x) for x in of])
             touched, at = np.unique(np.concatenate(of), return_inverse=True)
-            dchar = np.zeros((len(touched), WIDTH), np.float32)
-            np.add.at(dchar, at, np.repeat(per_word[:, WIDTH:] / sizes[:, None], sizes, axis=0))
-            self._adam("char", touched, dchar)
+            share = np.repeat(per_word[:, WIDTH:] / sizes[:, None], sizes, axis=0)
+            self._adam("char", touched, _sums(at, share, len(touched)))
 
     def _adam(self, k: str, at, grad: np.ndarray) -> None:
         m = self.m[k][at] * 0.9 + 0.1 * grad
