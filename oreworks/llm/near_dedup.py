@@ -170,14 +170,16 @@ def near_duplicate_groups(docs: DataFrame) -> DataFrame:
     return prints.join(named, "fingerprint").select("doc_id", hex_text(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
-def keep_one_per_group(docs: DataFrame) -> DataFrame:
+def keep_one_per_group(docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The rows of docs without near-duplicates: of each group the row of the smallest id stays.
 
+    groups: (doc_id, component_id) of docs, those of near_duplicate_groups if not given.
     Of repeated rows of that id one stays, the smallest by the hash of its text. Rows without an
     id cannot be told apart from each other's groups and all stay.
     """
-    groups = near_duplicate_groups(docs).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(groups, "doc_id", "left_semi")
+    groups = near_duplicate_groups(docs) if groups is None else groups
+    first = groups.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.join(first, "doc_id", "left_semi")
     copies = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
     once = kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
     return once.unionByName(docs.where("doc_id is null"))
