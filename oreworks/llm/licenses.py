@@ -110,7 +110,8 @@ def _literals(words: list[str]) -> Column:
 def block_matches(candidates: DataFrame, ordered: list[tuple]) -> DataFrame:
     """(row, words) -> (row, block, label, containment) of every block and template that meet the threshold.
 
-    Of the templates of a block those of the highest containment count, so that a notice is not taken for its relatives.
+    A template is left out only if its words found in the block are among those of a template of higher containment, so that
+    a notice is not taken for its relatives, and two notices that stand close together both count.
     """
     spark = candidates.sparkSession
     table = spark.createDataFrame(
@@ -124,12 +125,18 @@ def block_matches(candidates: DataFrame, ordered: list[tuple]) -> DataFrame:
     shared = tokens.join(F.broadcast(table), "word").where("n >= need")
     found = (
         shared.groupBy("row", "block", "template", "label", "size", "need")
-        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("overlap"))
+        .agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("overlap"), F.collect_list("word").alias("shared"))
         .where("first <= size - need and overlap >= need")
         .withColumn("containment", F.col("overlap") / F.col("size"))
     )
-    best = found.groupBy("row", "block").agg(F.max("containment").alias("best"))
-    return found.join(best, ["row", "block"]).where("containment = best").select("row", "block", "label", "containment")
+    # A block meets at most as many templates as there are.
+    held = found.groupBy("row", "block").agg(F.collect_list(F.struct("label", "containment", "shared")).alias("held"))
+    better = lambda t: F.exists(
+        "held", lambda o: (o["containment"] > t["containment"]) & (F.size(F.array_except(t["shared"], o["shared"])) == 0)
+    )
+    return held.select("row", "block", F.explode(F.filter("held", lambda t: ~better(t))).alias("t")).select(
+        "row", "block", "t.label", "t.containment"
+    )
 
 
 def license_scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:

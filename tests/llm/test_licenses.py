@@ -91,3 +91,37 @@ def test_awkward_rows(awkward, no_docs):
     assert all((r.n_words, r.n_base, r.labels, r.score) == (0, 0, "", 0.0) for r in rows if r.doc_id in (2, 3, 4))
     assert next(r.n_words for r in rows if r.doc_id == 7) == 6000
     assert licenses.license_scan(no_docs).count() == 0
+
+
+APACHE = "you may not use this file except in compliance with the License You may obtain a copy of the License at"
+LGPL = "you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"
+
+
+def test_two_notices_in_one_block(spark):
+    """A notice with a word changed counts beside a whole one; relatives that only share its words do not."""
+    texts = [
+        f"{MIT} or {APACHE.replace('compliance', 'accordance')}",
+        f"{MIT} or {APACHE}",
+        LGPL.replace("Lesser ", ""),
+        LGPL.replace("Lesser ", "") + " Licensed under CC BY-NC 4.0",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: set(r.labels.split(",")) for r in licenses.license_scan(docs).collect()}
+    assert got == {0: {"mit", "apache"}, 1: {"mit", "apache"}, 2: {"gpl"}, 3: {"gpl", "cc-by-nc"}}
+
+
+def test_every_match_but_contained_ones_against_brute_force(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in licenses.license_scan(docs).collect()}
+    for r in docs.collect():
+        w = words(r.text)
+        want = {label for p, label in licenses.PHRASES.items() if f" {p} " in f" {' '.join(w)} "}
+        for start in range(0, max(len(w) - 33, 0) + 1, 32):
+            held = []
+            for label, template in licenses.TEMPLATES:
+                t = set(words(template))
+                shared = t & set(w[start : start + 64])
+                if len(shared) >= 0.8 * len(t) - 1e-9:
+                    held.append((len(shared) / len(t), shared, label))
+            want |= {label for c, shared, label in held if not any(d > c and shared <= other for d, other, _ in held)}
+        assert got[r.doc_id] == want
