@@ -2,13 +2,13 @@
 
 Numbers, names and units give way to typed placeholders; windows of the canonical words are
 joined by hash. Where windows agree, the values behind the placeholders must answer each other: within one
-copy every value of the item has one value in the document. A question with
+copy every value of the item has one value in the document, but for single slots that differ. A question with
 other numbers or names is thus found, an accidental mix of values is not. Built-in functions only.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreworks.llm.common import written
@@ -103,29 +103,54 @@ def _row_key() -> Column:
     return F.xxhash64("doc_id", "text").alias("row")
 
 
+ALIGN = ["row", "doc_id", "item_id", "kind", "n", "part"]
+
+
+def _aligned(hits: DataFrame) -> DataFrame:
+    """Every hit in its alignment, that is its shift."""
+    hits = hits.distinct().withColumn("kind", F.lit("canonical")).withColumn("shift", F.col("at") - F.col("item_at"))
+    return hits.select(*ALIGN[:-1], "shift", F.col("item_at").alias("start"), "width", F.concat(F.lit("shift "), "shift").alias("part"))
+
+
 def _judged(hits: DataFrame, docs: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
-    """Coverage and slot consistency of every (row, item, alignment)."""
-    align = ["row", "doc_id", "item_id", "n", "shift"]
-    hits = hits.withColumn("shift", F.col("at") - F.col("item_at"))
-    covered = hits.select(
-        *align, F.explode(F.sequence(F.col("item_at"), F.col("item_at") + F.col("width") - 1)).alias("item_at")
-    ).distinct()
-    items = benchmark.where("item_id is not null").select(
-        "item_id", F.posexplode(F.arrays_zip(canonical_words(F.col("text")).alias("c"), raw_words(F.col("text")).alias("v"))).alias("item_at", "word")
-    )
-    items = items.select("item_id", "item_at", "word.c", F.lower("word.v").alias("item_value"))
-    slots = covered.join(items.where(F.col("c").isin(NUMBER, NAME, UNIT)), ["item_id", "item_at"])
+    """Coverage and slot consistency of every (row, item, alignment).
+
+    Slots of one value in one role should have one answer. A role is the value, of a number with the literal word after it. Windows on slots
+    that disagree with the answer of more than half of their role do not count; a role without such an answer rejects the alignment.
+    """
+    placed = written(_aligned(hits), "alignments")
+    ends = F.col("start") + F.col("width") - 1
+    covered = placed.select(*ALIGN, "shift", "start", F.explode(F.sequence(F.col("start"), ends)).alias("item_at"))
+    pairs = F.arrays_zip(canonical_words(F.col("text")).alias("c"), raw_words(F.col("text")).alias("v"))
+    items = benchmark.where("item_id is not null").select("item_id", F.posexplode(pairs).alias("item_at", "word"), pairs.alias("words"))
+    after = F.get("words", F.col("item_at") + 1)
+    role = F.when((F.col("word.c") == NUMBER) & ~after["c"].isin(NUMBER, NAME, UNIT), after["c"])
+    items = items.select("item_id", "item_at", "word.c", F.lower("word.v").alias("item_value"), F.coalesce(role, F.lit("")).alias("role"))
+    items = items.where(F.col("c").isin(NUMBER, NAME, UNIT))
+    slots = covered.where("kind = 'canonical'").drop("start").distinct().join(items, ["item_id", "item_at"])
     at_risk = _broadcast_if_few(written(slots.select("row").distinct(), "at_risk"))
     values = docs.select(_row_key(), "text").join(at_risk, "row").dropDuplicates(["row"])
     slots = slots.join(values.select("row", raw_words(F.col("text")).alias("values")), "row")
-    slots = slots.withColumn("doc_value", F.lower(F.get("values", F.col("shift") + F.col("item_at"))))
-    answers = slots.groupBy(*align, "c", "item_value").agg(F.count_distinct("doc_value").alias("answers"))
-    mixed = answers.groupBy(*align).agg(
-        F.count_if(F.col("answers") > 1).alias("mixed"), F.count(F.lit(1)).cast("long").alias("n_slots")
+    slots = slots.withColumn("doc_value", F.lower(F.get("values", F.col("shift") + F.col("item_at")))).drop("values")
+    of_role = Window.partitionBy(*ALIGN, "c", "item_value", "role")
+    of_answer = Window.partitionBy(*ALIGN, "c", "item_value", "role", "doc_value")
+    slots = slots.withColumn("same", F.count(F.lit(1)).over(of_answer)).withColumn("slots", F.count(F.lit(1)).over(of_role))
+    slots = slots.withColumn("most", F.max("same").over(of_role)).withColumn("odd", F.col("same") < F.col("slots"))
+    slots = slots.withColumn("minor", F.col("odd") & (F.col("same") * 2 <= F.col("slots")))
+    slots = written(slots.drop("same"), "slots")
+    # "odd": the role has several answers; "minor": this slot's answer is not that of over half.
+    mixed = slots.groupBy(*ALIGN).agg(
+        F.count_if(F.col("odd") & (F.col("most") * 2 <= F.col("slots"))).alias("unsettled"),
+        F.count_distinct("c", "item_value", "role").cast("long").alias("n_slots"),
     )
-    spans = covered.groupBy(*align).agg(F.count(F.lit(1)).alias("words"))
-    judged = spans.join(mixed, align, "left").where(
-        (F.col("words") >= coverage * F.col("n")) & (F.coalesce("mixed", F.lit(0)) == 0)
+    minor = slots.where("minor").select(*[F.col(c).alias(f"_{c}") for c in [*ALIGN, "shift", "item_at"]])
+    on_minor = covered.join(minor, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*ALIGN, "shift", "item_at"]])
+    dropped = on_minor.select(*[F.col(f"_{c}") for c in [*ALIGN, "shift"]], F.col("start").alias("_start")).distinct()
+    left = covered.join(dropped, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*ALIGN, "shift", "start"]], "left_anti")
+    spans = left.groupBy(*ALIGN).agg(F.count_distinct("item_at").alias("words"))
+    mixed = mixed.select(*[F.col(c).alias(f"_{c}") for c in ALIGN], "unsettled", "n_slots")
+    judged = spans.join(mixed, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ALIGN], "left").where(
+        (F.col("words") >= coverage * F.col("n")) & (F.coalesce("unsettled", F.lit(0)) == 0)
     )
     return judged.groupBy("doc_id").agg(
         F.array_sort(F.collect_set("item_id")).alias("item_ids"),

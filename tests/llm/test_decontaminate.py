@@ -101,3 +101,19 @@ def test_awkward_rows(spark, awkward, no_docs, bench):
     rows = {r.doc_id: r.item_ids for r in decontaminate.contaminated(twice, bench).collect()}
     assert rows == {7: [1], None: [1]}
     assert [r.doc_id for r in decontaminate.without_contaminated(twice, bench).collect()] == [None]
+
+
+THRICE = "On that cold day Maria took the early bus to town, then Maria met all of her old friends there and later that same evening Maria went home"
+FRUIT = "You put 2 apples and 2 pears into the big basket that stands beside the kitchen door"
+VALUES = "The man paid 12 coins for each of the many small boxes that stood there and later gave 12 coins to Ann who then ran down to the shop"
+
+
+def test_single_slots_may_differ_and_a_value_may_play_two_roles(spark):
+    bench = spark.createDataFrame([(1, THRICE), (2, FRUIT)], "item_id long, text string")
+    rows = found(
+        spark,
+        bench,
+        THRICE.replace("then Maria", "then Marya"),
+        FRUIT.replace("2 apples", "3 apples").replace("2 pears", "5 pears"),
+    )
+    assert {i: r.item_ids for i, r in rows.items()} == {0: [1], 1: [2]}
