@@ -117,3 +117,19 @@ def test_single_slots_may_differ_and_a_value_may_play_two_roles(spark):
         FRUIT.replace("2 apples", "3 apples").replace("2 pears", "5 pears"),
     )
     assert {i: r.item_ids for i, r in rows.items()} == {0: [1], 1: [2]}
+
+
+def test_values_of_other_shape_and_shifted_copies(spark):
+    bench = spark.createDataFrame([(1, VALUES)], "item_id long, text string")
+    longer = VALUES.replace("12 coins", "1,200 coins").replace("Ann", "Mary Ann Lee")
+    plain = " ".join(VALUES.split())
+    words_of_it = plain.split()
+    shifted = " ".join([*words_of_it[:9], "really", *words_of_it[9:18], "some", "more", *words_of_it[18:]])
+    rows = found(spark, bench, longer, plain.lower(), plain.upper(), plain.replace(" Ann", "\nAnn"), shifted, plain.replace(" ", "  "))
+    assert set(rows) == set(range(6))
+
+
+def test_items_of_few_literal_words_need_equal_values(spark):
+    bench = spark.createDataFrame([(1, "add 12, 5, 7, 9, 11 and 4")], "item_id long, text string")
+    rows = found(spark, bench, "Add 12, 5, 7, 9, 11 and 4", "add 1, 2, 3, 4, 5 and 6")
+    assert set(rows) == {0}
