@@ -29,11 +29,8 @@ WIDTH = 12
 # Words of the sample that get a vector of their own; all others are read by their characters.
 LEAST_USES, MOST_WORDS = 8, 20_000
 CHAR_ROWS = 1 << 14
-# Labelled documents a model is fitted on at most, evenly spaced windows taken of one of them, and windows
-# read of it per pass. Scoring reads all windows.
+# Labelled documents a model is fitted on at most. Training and scoring read all windows.
 SAMPLE_ROWS = 4_000
-KEPT_WINDOWS = 64
-TRAIN_WINDOWS = 24
 # Documents read while training, over all passes: a small sample is read more often.
 READINGS = 16_000
 BATCH_DOCS = 32
@@ -51,13 +48,21 @@ REMEMBERED_WORDS = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
+# A longer run of letters is read as inputs of this length, each overlapping the next by half.
+LONGEST = 64
+
+
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall((text or "").lower())
+    words = WORD.findall((text or "").lower())
+    if max(map(len, words), default=0) <= LONGEST:
+        return words
+    half = LONGEST // 2
+    return [w[i : i + LONGEST] for w in words for i in range(0, max(len(w) - half, 1), half)]
 
 
 def char_pieces(word: str) -> list[int]:
     """Rows of the three- and four-character pieces of a marked word."""
-    data = f"<{word[:64]}>".encode()
+    data = f"<{word}>".encode()
     return [zlib.crc32(data[i : i + n]) % CHAR_ROWS for n in (3, 4, 5) for i in range(max(len(data) - n + 1, 1))]
 
 
@@ -261,25 +266,19 @@ class _Trainer:
         self.net.p[k][at] -= RATE * (m / (1 - 0.9**self.step)) / (np.sqrt(s / (1 - 0.99**self.step)) + 1e-6)
 
 
-def training_windows(text: str | None) -> list[str]:
-    """At most KEPT_WINDOWS windows of a text, evenly spaced, as space-joined words."""
-    words = words_of(text)
-    count = max(0, -(-(len(words) - WINDOW) // STRIDE)) + 1
-    chosen = np.unique(np.linspace(0, count - 1, min(count, KEPT_WINDOWS)).astype(int)).tolist()
-    return [" ".join(words[i * STRIDE : i * STRIDE + WINDOW]) for i in chosen]
+def _odds(net: Network, inputs: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    x = inputs[ids]
+    return net.window_odds(x @ net.p["Wf"] + net.p["cf"], x @ net.p["Wb"] + net.p["cb"], ids > 0)
 
 
 def fit(samples: list[list[str]], y: np.ndarray, seed: int = 7) -> Network:
-    """Learns from the windows of labelled texts. Without both labels every score is the label mean, near 0 without labels."""
+    """Learns from all windows of labelled texts, given as runs of space-joined words. Without both labels every score is the label mean, near 0 without labels."""
     number: dict[str, int] = {}
     docs, uses = [], Counter()
-    for windows_of in samples:
-        ids = np.zeros((len(windows_of), WINDOW), np.int64)
-        for i, window in enumerate(windows_of):
-            some = [number.setdefault(w, len(number) + 1) for w in window.split()]
-            ids[i, : len(some)] = some
-        docs.append(ids)
-        uses.update(np.unique(ids[ids > 0]).tolist())
+    for runs in samples:
+        ids = np.array([number.setdefault(w, len(number) + 1) for run in runs for w in run.split()], np.int64)
+        docs.append(windows(ids))
+        uses.update(np.unique(ids).tolist())
     names = list(number)
     own = sorted((i for i, n in uses.items() if n >= LEAST_USES), key=lambda i: (-uses[i], names[i - 1]))[:MOST_WORDS]
     rate = float(np.clip(y.sum() / (len(y) + 2), 1e-3, 1 - 1e-3))
@@ -296,7 +295,7 @@ def fit(samples: list[list[str]], y: np.ndarray, seed: int = 7) -> Network:
         order = rng.permutation(len(docs))
         for at in range(0, len(order), BATCH_DOCS):
             some = order[at : at + BATCH_DOCS]
-            picked = [docs[i] if len(docs[i]) <= TRAIN_WINDOWS else docs[i][rng.choice(len(docs[i]), TRAIN_WINDOWS, replace=False)] for i in some]
+            picked = [docs[i] for i in some]
             if number_of_pass < FIRST_SHARE * passes:
                 picked = [w[rng.permutation(len(w))[:CLEAN_WINDOWS]] for w in picked]
             used, ids = np.unique(np.concatenate(picked), return_inverse=True)
@@ -309,8 +308,7 @@ def fit(samples: list[list[str]], y: np.ndarray, seed: int = 7) -> Network:
                 truth = np.repeat(y[some], [len(w) for w in picked])
                 trainer.learn(ids, truth, own_rows, [pieces[i] for i in used], inputs)
                 continue
-            x = inputs[ids]
-            odds = net.window_odds(x @ net.p["Wf"] + net.p["cf"], x @ net.p["Wb"] + net.p["cb"], ids > 0)
+            odds = np.concatenate([_odds(net, inputs, ids[:, i : i + SCORE_WINDOWS]) for i in range(0, ids.shape[1], SCORE_WINDOWS)])
             first, worst, truth = 0, [], []
             for k, w in zip(some, picked, strict=True):
                 top = np.argsort(-odds[first : first + len(w)], kind="stable")[: 1 if y[k] else CLEAN_WINDOWS]
@@ -328,9 +326,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     """Fits on at most SAMPLE_ROWS labelled documents outside the held-out fold; NULL labels and labels without a document are left out."""
     sample = labelled_sample(labels, "toxic", FOLDS, HELD_OUT, SAMPLE_ROWS)
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most SAMPLE_ROWS ids
-    windows_of = F.pandas_udf(lambda texts: texts.map(training_windows), "array<string>")
-    rows = joined.select("doc_id", "y", windows_of("text").alias("windows")).orderBy("doc_id").collect()
-    return fit([r.windows for r in rows], np.array([r.y for r in rows], dtype=np.float32))
+    run_of = F.pandas_udf(lambda texts: texts.map(lambda t: " ".join(words_of(t))), "string")
+    rows = joined.select("doc_id", "y", run_of("text").alias("run")).orderBy("doc_id").collect()
+    return fit([[r.run] for r in rows], np.array([r.y for r in rows], dtype=np.float32))
 
 
 def _score_udf(net: Network):

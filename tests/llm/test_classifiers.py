@@ -122,3 +122,27 @@ def test_additive_model_learns_an_interaction():
     model = quality_gam.fit(x, y)
     assert (0, 1) in model.pairs
     assert ((model.scores(x) >= 0.5) == y).mean() > 0.9
+
+
+def test_every_letter_of_a_long_word_is_read():
+    word = "".join(chr(0x4E00 + i) for i in range(203))
+    inputs = toxicity.words_of(f"short {word} end")
+    assert inputs[0] == "short" and inputs[-1] == "end" and max(map(len, inputs)) == 64
+    assert set("".join(inputs[1:-1])) == set(word)
+    assert all(a[32:] == b[: len(a) - 32] for a, b in zip(inputs[1:-2], inputs[2:-1]))
+    assert [len(toxicity.words_of("x" * n)) for n in (1, 64, 65, 96, 97)] == [1, 1, 2, 2, 3]
+
+
+def test_training_reads_every_window(monkeypatch):
+    """Toxic passages stand in any one of over a hundred windows of long texts."""
+    monkeypatch.setattr(toxicity, "READINGS", 60)
+    seen = set()
+    odds = toxicity.Network.window_odds
+
+    def spied(net, xf, xb, mask):
+        seen.add(xf.shape[1])
+        return odds(net, xf, xb, mask)
+
+    monkeypatch.setattr(toxicity.Network, "window_odds", spied)
+    toxicity.fit([["good day " * 1000], ["bad day " * 1000]], np.array([0, 1], dtype=np.float32))
+    assert seen == {2 * len(toxicity.windows(np.arange(2000)))}
