@@ -12,6 +12,7 @@ from oreworks.llm import (
     decontaminate,
     fingerprints,
     licenses,
+    mixture,
     near_dedup,
     packing,
     quality_gam,
@@ -70,6 +71,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(spark, sf_dir, "documents"), file, TOKEN_LIMIT)
 
 
+def op11_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    file = public_tokenizers.path("byte_bpe_50k.json")
+    return mixture.mixture_digest(read_table(spark, sf_dir, "documents"), file)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_label_propagation_shards": op2_label_propagation_shards,
@@ -81,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_mixture_packing": op11_mixture_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from oreworks.session import work_dir
 
@@ -58,6 +64,34 @@ def with_rank(df: DataFrame, *order: str, rank: str = "rank") -> DataFrame:
     )
 
 
+def running_total(df: DataFrame, order: list[str], amount: str, total: str) -> DataFrame:
+    """Adds ``total``: the sum of ``amount`` (long) up to and with each row in the given order, which should leave no ties.
+
+    df should be written, as ranges are sampled from it. Each task adds up its own range; the totals of the ranges, of which there are as
+    many as shuffle partitions, become offsets. No task sees more than its own range, whatever the order's leading column holds.
+    """
+    spark = df.sparkSession
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, so_far = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            sums = np.cumsum(batch.column(amount).to_numpy(zero_copy_only=False), dtype=np.int64) + so_far
+            so_far = int(sums[-1]) if len(sums) else so_far
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(len(sums), part, np.int32)), pa.array(sums)],
+                [*batch.schema.names, "_part", "_sum"],
+            )
+
+    schema = T.StructType([*df.schema.fields, T.StructField("_part", T.IntegerType()), T.StructField("_sum", T.LongType())])
+    placed = written(df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(added, schema), "running")
+    offsets, start = [], 0
+    for part, n in sorted(tuple(r) for r in placed.groupBy("_part").agg(F.max("_sum")).collect()):
+        offsets.append((part, start))
+        start += n
+    table = spark.createDataFrame(offsets, "_part int, _start long")
+    return placed.join(F.broadcast(table), "_part").withColumn(total, F.col("_start") + F.col("_sum")).drop("_part", "_sum", "_start")
+
+
 def _smallest(pairs: DataFrame) -> DataFrame:
     """Per u the smallest of u and its v."""
     return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

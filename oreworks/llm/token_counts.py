@@ -25,7 +25,7 @@ REMEMBERED_PIECES = 400_000
 REMEMBERED_CHARS = 48
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """Byte -> the printable letter that stands for it in a byte-level vocabulary."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = (b for b in range(256) if b not in printable)
@@ -38,7 +38,7 @@ class PairCounter:
     def __init__(self, merges: list[tuple[str, str]], specials: list[str]):
         symbols: dict[str, int] = {}
         number = lambda s: symbols.setdefault(s, len(symbols))
-        self.of_byte = [number(letter) for _, letter in sorted(_byte_letters().items())]
+        self.of_byte = [number(letter) for _, letter in sorted(byte_letters().items())]
         # (left, right) -> (rank, joined symbol)
         self.joined: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, (a, b) in enumerate(merges):
