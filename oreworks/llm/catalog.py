@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from oreworks.llm import (
     decontaminate,
     fingerprints,
+    k2_treap,
     licenses,
     mixture,
     near_dedup,
     packing,
+    prefix_trie,
     quality_gam,
     sharding,
     token_counts,
@@ -76,6 +78,14 @@ def op11_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mixture_digest(read_table(spark, sf_dir, "documents"), file)
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return k2_treap.ranked_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie_digest(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_label_propagation_shards": op2_label_propagation_shards,
@@ -88,8 +98,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_token_counts": op10_token_counts,
     "op11_mixture_packing": op11_mixture_packing,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_license_scan": licenses.oracle_sql(),
+    "op12_ranked_search": k2_treap.oracle_sql(),
+    "op13_conversation_prefix_trie": prefix_trie.oracle_sql(),
 }
