@@ -37,7 +37,7 @@ BROADCAST_PLACES = 500_000
 # Edges of sequences whose state a worker remembers.
 REMEMBERED_EDGES = 4096
 # Rows cut at once, a bound of a worker's memory.
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 512
 # The key of rows without a source; that of a source begins with an equals sign.
 NO_SOURCE = "none"
 
@@ -129,27 +129,40 @@ class RoundRobin:
     def sequence_at(self, t: int) -> int:
         return t // self.size if t < self.tail[0] else self.whole + bisect_right(self.tail, t) - 1
 
-    def _near(self, queue: int, token: int) -> int:
-        """A sequence not far from the one that holds the token."""
+    def sequence_of(self, queue: int, token: int) -> int:
+        """The sequence that holds a queue's token."""
         phase = self.phases[max(0, bisect_right(self.phases, token, key=lambda p: p.taken[queue]) - 1)]
         weight = phase.weights[queue] or 1
         due = phase.start + (2 * (token - phase.taken[queue]) + 1) * sum(phase.weights) // (2 * weight)
-        return self.sequence_at(min(due, self.total - 1))
-
-    def slices(self, queue: int, first: int, n: int) -> Iterator[tuple[int, int, int]]:
-        """(length, sequence, offset) of the tokens first up to first + n of a queue, in order. Inside a sequence queues follow each other."""
-        sequence, end = self._near(queue, first), first + n
-        while first < end:
-            while sequence and self.served(self.edge(sequence))[0][queue] > first:
-                sequence -= 1
-            while (until := self.served(self.edge(sequence + 1)))[0][queue] <= first:
-                sequence += 1
-            since = self.served(self.edge(sequence))
-            length = min(end, until[0][queue]) - first
-            yield length, sequence, until[1][queue] - since[1][queue] + first - since[0][queue]
-            first, sequence = first + length, sequence + 1
-            if first < end and self.served(self.edge(min(sequence + 1, self.whole)))[0][queue] <= first:
-                sequence = self._near(queue, first)
+        near = self.sequence_at(min(due, self.total - 1))
+        while near and self.served(self.edge(near))[0][queue] > token:
+            near -= 1
+        while self.served(self.edge(near + 1))[0][queue] <= token:
+            near += 1
+        return near
+
+    def slices(self, queue: np.ndarray, first: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per row the tokens first up to first + n of a queue -> row, length, sequence, offset of its slices, in order.
+
+        Inside a sequence the queues follow each other.
+        """
+        spans = [(self.sequence_of(q, a), self.sequence_of(q, a + k - 1)) for q, a, k in zip(queue.tolist(), first.tolist(), n.tolist(), strict=True)]
+        # A queue served less than once in four sequences is asked for token by token.
+        tried = [
+            np.arange(a, b + 1) if b - a < 4 * k else np.unique([self.sequence_of(q, t) for t in range(f, f + k)])
+            for (a, b), q, f, k in zip(spans, queue.tolist(), first.tolist(), n.tolist(), strict=True)
+        ]
+        row = np.repeat(np.arange(len(n)), [len(x) for x in tried])
+        sequence = np.concatenate(tried)
+        edges = np.unique(np.concatenate([sequence, sequence + 1]))
+        state = [self.served(self.edge(s)) for s in edges.tolist()]
+        own, ahead = np.array([x for x, _ in state], np.int64), np.array([x for _, x in state], np.int64)
+        since, until = np.searchsorted(edges, sequence), np.searchsorted(edges, sequence + 1)
+        q = queue[row]
+        begin, end = np.maximum(own[since, q], first[row]), np.minimum(own[until, q], (first + n)[row])
+        offset = ahead[until, q] - ahead[since, q] + begin - own[since, q]
+        some = end > begin
+        return row[some], (end - begin)[some], sequence[some], offset[some]
 
 
 # -- token ids ---------------------------------------------------------------------
@@ -257,23 +270,26 @@ def mixed_sequences(
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
                 some = batch.slice(at, ROWS_AT_ONCE)
-                row, start, length, sequence, offset, data = [], [], [], [], [], []
-                columns = [some.column(c).to_pylist() for c in ("queue", "place", "start", "n", "ids")]
-                for k, (queue, place, begin, n, ids) in enumerate(zip(*columns, strict=True)):
-                    wide_ids = np.frombuffer(ids, "<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes()
-                    done = 0
-                    for size_of, in_sequence, there in plan.slices(queue, place, n):
-                        row.append(k)
-                        start.append(begin + done)
-                        length.append(size_of)
-                        sequence.append(in_sequence)
-                        offset.append(there)
-                        data.append(wide_ids[4 * done : 4 * (done + size_of)])
-                        done += size_of
-                who = pa.array(row, pa.int64())
-                numbers = [pa.array(x, pa.int64()) for x in (start, length, sequence, offset)]
+                queue, place, start, n = (some.column(c).to_numpy() for c in ("queue", "place", "start", "n"))
+                row, length, sequence, offset = plan.slices(queue, place, n)
+                # A row's slices are its tokens in order, so one buffer holds the ids of all.
+                upto = np.cumsum(length)
+                inside = upto - length - (np.cumsum(n) - n)[row]
+                ids = [np.frombuffer(x, "<u2" if len(x) == 2 * k else "<u4") for x, k in zip(some.column("ids").to_pylist(), n.tolist(), strict=True)]
+                data = np.concatenate(ids).astype("<u4").tobytes()
+                limits = np.concatenate([[0], 4 * upto]).astype(np.int32)
+                who = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("doc_id").take(who), *numbers[:2], pa.array(data, pa.binary()), some.column("doc_tokens").take(who), *numbers[2:], some.column("source").take(who)],
+                    [
+                        some.column("doc_id").take(who),
+                        pa.array(start[row] + inside),
+                        pa.array(length),
+                        pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(limits), pa.py_buffer(data)]),
+                        some.column("doc_tokens").take(who),
+                        pa.array(sequence),
+                        pa.array(offset),
+                        some.column("source").take(who),
+                    ],
                     ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", "source"],
                 )
 

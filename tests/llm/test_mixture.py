@@ -70,8 +70,9 @@ def test_plan_places_every_token_once(seed):
         at = 0
         while at < n:
             some = min(n - at, rnd.choice([1, 5, 300]))
-            spans = list(plan.slices(queue, at, some))
-            assert sum(s[0] for s in spans) == some
+            row, *spans = (x.tolist() for x in plan.slices(np.array([queue]), np.array([at]), np.array([some])))
+            spans = list(zip(*spans, strict=True))
+            assert sum(s[0] for s in spans) == some and set(row) == {0}
             for length, sequence, offset in spans:
                 for k in range(length):
                     assert (sequence, offset + k) not in place
