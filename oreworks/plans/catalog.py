@@ -466,7 +466,7 @@ def _arrive(spark: SparkSession, rows: DataFrame, layout: Layout) -> None:
 
 
 def _two_arrivals(spark: SparkSession, sf_dir: str, purpose: str, take: Callable[[Layout], object]) -> Layout:
-    """Two halves of the rows arrive one after the other under the same file names; the first is archived in between."""
+    """Two halves of the rows arrive one after the other under the same file names; the first is to be archived by then."""
     layout = Layout(work_dir(spark, purpose))
     rows = raw_rows(spark, sf_dir)
     for half in (rows.where("event_id % 4 < 2"), rows.where("event_id % 4 >= 2")):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,13 +41,22 @@ def delete_at_exit(spark: SparkSession, path: str) -> None:
     fs.deleteOnExit(target)
 
 
-def move_file(spark: SparkSession, path: str, folder: str) -> None:
-    """Move one file into a folder, which is made when absent. A file that has gone is left alone."""
-    fs, source = _at(spark, path)
-    _, target = _at(spark, folder)
-    if fs.exists(source):
-        fs.mkdirs(target)
-        fs.rename(source, spark._jvm.org.apache.hadoop.fs.Path(target, source.getName()))
+class FileEntry(NamedTuple):
+    name: str
+    modified_ms: int
+    length: int
+
+
+def files_in(spark: SparkSession, path: str) -> list[FileEntry]:
+    """The files directly in a folder, by name; none when it does not exist."""
+    fs, target = _at(spark, path)
+    found = fs.listStatus(target) if fs.exists(target) else []
+    return sorted(FileEntry(s.getPath().getName(), s.getModificationTime(), s.getLen()) for s in found if s.isFile())
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _at(spark, path)
+    fs.mkdirs(target)
 
 
 def list_files(spark: SparkSession, *folders: str, pattern: str = "*") -> DataFrame:
@@ -78,6 +89,7 @@ def place_file(spark: SparkSession, source: str, target: str, modified_ms: int |
     fs, old = _at(spark, source)
     _, new = _at(spark, target)
     fs.mkdirs(new.getParent())
-    fs.rename(old, new)
+    if not fs.rename(old, new):
+        raise OSError(f"could not move {source} to {target}")
     if modified_ms is not None:
         fs.setTimes(new, modified_ms, -1)

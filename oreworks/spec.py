@@ -78,6 +78,10 @@ class Layout:
     def input(self) -> str:
         return self._under("input")
 
+    @property
+    def landing(self) -> str:
+        return self._under("landing")
+
     @property
     def archive(self) -> str:
         return self._under("archive")

@@ -1,134 +1,69 @@
-"""File-drop batches: whatever arrives in the input folder is taken once.
+"""File-drop streams: whatever arrives in the input folder is taken once, by Structured Streaming.
 
-A file is known by its path, modification time and length, so a file that comes again under a
-used name is a new arrival, and the age of a file does not matter. (A file stream source
-knows files by path alone and passes over old ones, which loses such arrivals.)
+A file stream knows files by path alone, so each arrival first moves to a path of its own in the landing folder: the
+time of landing, its modification time, its length and its name. A file that comes again under a used name is therefore a new
+arrival. From there two file sources, one per format, are read as one stream; the checkpoint holds which files belong to which batch,
+and a batch that died is run again over the same files. The age of a file does not matter.
 
-Layout of one query's checkpoint::
-
-    <checkpoint>/taken/batch=<N>/    all files taken up to batch N that still lie in the folder
-    <checkpoint>/done/batch=<N>/     batch N is finished; one row says whether its files were moved away
-
-A batch's files are written down before it runs. One that died is run again over the same files under
-the same batch id, and the tables do not write a batch twice.
+Writers put whole files into the input folder (by renaming them, say). Queries with checkpoints of their own share the landing folder.
 """
 
 from __future__ import annotations
 
+import re
 import time
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from oreworks.plans.medallion import bronze_rows, run_medallion
-from oreworks.sources.files import read_csv, read_json, union_sources
-from oreworks.sources.listing import delete_path, folder_names, list_files, move_file, path_exists
-from oreworks.sources.rowlog import one_row
+from oreworks.sources.listing import files_in, make_folder, place_file
 from oreworks.sources.versioned import VersionedTable
 from oreworks.spec import Layout, TableSpec
 
-_FILE = ["path", "modificationTime", "length"]
-_TAKEN = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("batch", T.LongType()),
-    ]
-)
-# Files of one batch at most, so that their names fit the driver; a longer backlog takes more batches.
+# Spark forgets files older than this, compared with the newest one it has seen, and would pass over such arrivals.
+OLDEST = "36500d"
+# Files a batch takes from each of the two sources at most; a longer backlog takes more batches.
 BATCH_FILES = 10_000
 
 
-class Arrivals:
-    """The files of a folder, batch by batch. With ``archive`` a finished batch's files move to a folder of its own there."""
-
-    def __init__(
-        self, spark: SparkSession, folder: str, checkpoint: str, max_files: int | None = None, archive: str | None = None
-    ):
-        self.spark, self.folder, self.checkpoint, self.archive = spark, folder, checkpoint.rstrip("/"), archive
-        self.max_files = max_files or BATCH_FILES
-        self.query_id = self._query_id()
-
-    def _query_id(self) -> str:
-        """Drawn once per checkpoint: a new one's batches start from 0 again and must not pass for old ones."""
-        path = f"{self.checkpoint}/id"
-        if not path_exists(self.spark, f"{path}/_SUCCESS"):
-            schema = T.StructType([T.StructField("id", T.StringType())])
-            one_row(self.spark, schema, {"id": uuid.uuid4().hex}).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path).first()[0]
-
-    def _taken(self, batch: int) -> DataFrame:
-        return self.spark.read.schema(_TAKEN).parquet(f"{self.checkpoint}/taken/batch={batch}")
-
-    def _planned(self) -> list[int]:
-        """Numbers of the batches written down, in order."""
-        root = f"{self.checkpoint}/taken"
-        names = [n for n in folder_names(self.spark, root) if path_exists(self.spark, f"{root}/{n}/_SUCCESS")]
-        return sorted(int(n.partition("=")[2]) for n in names)
-
-    def _done(self, batch: int) -> str:
-        return f"{self.checkpoint}/done/batch={batch}"
-
-    def _plan(self, last: int | None) -> int | None:
-        """Write down the next batch: the files not taken yet, oldest first. None when there are none."""
-        if not path_exists(self.spark, self.folder):
-            return None
-        there = list_files(self.spark, self.folder).where(F.col("path").rlike(r"\.(csv|json)$")).where("length > 0")
-        before = self.spark.createDataFrame([], _TAKEN) if last is None else self._taken(last)
-        if last is not None and self.spark.read.parquet(self._done(last)).first()[0]:
-            # What bears the mark of an archived file has come since.
-            before = before.where(F.col("batch") != last)
-        known = there.join(before, _FILE, "left")
-        new = known.where("batch is null").orderBy("modificationTime", "path").limit(self.max_files)
-        number = 0 if last is None else last + 1
-        state = known.where("batch is not null").unionByName(new.withColumn("batch", F.lit(number).cast("long")))
-        path = f"{self.checkpoint}/taken/batch={number}"
-        state.select(*_TAKEN.names).write.mode("overwrite").parquet(path)
-        if self._taken(number).where(F.col("batch") == number).isEmpty():
-            delete_path(self.spark, path)
-            return None
-        return number
-
-    def batches(self) -> Iterator[tuple[int, list[str]]]:
-        """(number, paths) until nothing new lies in the folder; a batch is finished when the next one is asked for."""
-        while True:
-            planned = self._planned()
-            last = planned[-1] if planned else None
-            number = last
-            if last is None or path_exists(self.spark, f"{self._done(last)}/_SUCCESS"):
-                number = self._plan(last)
-            if number is None:
-                return
-            own = self._taken(number).where(F.col("batch") == number)
-            paths = [r.path for r in own.select("path").orderBy("path").collect()]
-            yield number, paths
-            if self.archive:
-                for path in paths:
-                    move_file(self.spark, path, f"{self.archive}/{self.query_id}_{number}")
-            schema = T.StructType([T.StructField("moved", T.BooleanType())])
-            mark = one_row(self.spark, schema, {"moved": bool(self.archive)})
-            mark.write.mode("overwrite").parquet(self._done(number))
-            for old in self._planned():
-                if old < number:
-                    delete_path(self.spark, f"{self.checkpoint}/taken/batch={old}")
-                    delete_path(self.spark, self._done(old))
-
-
-def read_files(spark: SparkSession, spec: TableSpec, paths: list[str]) -> DataFrame | None:
-    """Rows of the given CSV and JSON files with their source file."""
-    csv = [p for p in paths if p.endswith(".csv")]
-    json = [p for p in paths if p.endswith(".json")]
-    how = {"file_column": spec.file_column}
-    return union_sources(
-        [
-            read_csv(spark, csv, spec.schema, **how) if csv else None,
-            read_json(spark, json, spec.schema, **how) if json else None,
-        ]
-    )
+def land_arrivals(spark: SparkSession, layout: Layout) -> int:
+    """Move each CSV and JSON file of the input folder to its place in the landing folder; returns their number.
+
+    Each move is one rename, so a caller that dies leaves every file in one of the two folders. Empty files stay, as they may be still to be
+    written.
+    """
+    make_folder(spark, layout.landing)
+    arrived = [f for f in files_in(spark, layout.input) if f.length and f.name.endswith((".csv", ".json"))]
+    for file in arrived:
+        name = f"{time.time_ns() // 1_000_000}_{file.modified_ms}_{file.length}_{file.name}"
+        place_file(spark, f"{layout.input}/{file.name}", f"{layout.landing}/{name}")
+    return len(arrived)
+
+
+def stream_arrivals(
+    spark: SparkSession, spec: TableSpec, layout: Layout, *, archive: bool = False, max_files: int | None = None
+) -> DataFrame:
+    """The landed files as one stream, each row with the path its file arrived under."""
+
+    def source(pattern: str):
+        reader = (
+            spark.readStream.schema(spec.schema)
+            .option("pathGlobFilter", pattern)
+            .option("maxFileAge", OLDEST)
+            .option("maxFilesPerTrigger", max_files or BATCH_FILES)
+        )
+        if archive:
+            reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", layout.archive)
+        return reader
+
+    csv = source("*.csv").option("header", True).option("enforceSchema", False).csv(layout.landing)
+    json = source("*.json").json(layout.landing)
+    landed = rf"{re.escape(layout.landing.rpartition('/')[2])}/\d+_\d+_\d+_([^/]*)$"
+    arrived = F.regexp_replace("_metadata.file_path", landed, f"{layout.input.rpartition('/')[2]}/$1")
+    return csv.select("*", arrived.alias(spec.file_column)).unionByName(json.select("*", arrived.alias(spec.file_column)))
 
 
 def _take(
@@ -139,23 +74,39 @@ def _take(
     *,
     name: str,
     every: float | None,
-    archive: bool,
-    max_files: int | None,
+    **source,
 ) -> int:
-    """Run ``each`` over all batches; returns their number. With ``every`` it looks again after so many seconds, for ever."""
-    arrivals = Arrivals(spark, layout.input, layout.checkpoint(name), max_files, layout.archive if archive else None)
-    done = 0
-    while True:
-        for number, paths in arrivals.batches():
-            batch_id = f"{name}_{arrivals.query_id}_{number}"
-            # After a crash the files of a finished batch may have been archived already.
-            rows = read_files(spark, spec, [p for p in paths if path_exists(spark, p)])
-            if rows is not None:
-                each(rows, batch_id)
-                done += 1
+    """Run ``each`` over all batches; returns their number. With ``every`` files land and batches run every so many seconds, for ever."""
+    done, errors = [], []
+
+    def named(batch: DataFrame, number: int) -> None:
+        # The query's id lives in its checkpoint: the same over restarts, another one for a new
+        # checkpoint, whose batches start from 0 again and must not pass for old ones.
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        try:
+            each(batch, f"{name}_{query_id}_{number}")
+        except Exception as error:
+            errors.append(error)
+            raise
+        done.append(number)
+
+    land_arrivals(spark, layout)
+    writer = stream_arrivals(spark, spec, layout, **source).writeStream.queryName(name).foreachBatch(named)
+    writer = writer.option("checkpointLocation", layout.checkpoint(name))
+    query = writer.trigger(**({"processingTime": f"{every} seconds"} if every is not None else {"availableNow": True})).start()
+    try:
         if every is None:
-            return done
-        time.sleep(every)
+            query.awaitTermination()
+        else:
+            while not query.awaitTermination(every):
+                land_arrivals(spark, layout)
+    except StreamingQueryException:
+        if errors:
+            raise errors[0]  # the caller's own error, not the report of the query it stopped
+        raise
+    finally:
+        query.stop()
+    return len(done)
 
 
 def ingest_arrivals(
@@ -170,13 +121,12 @@ def ingest_arrivals(
 ) -> int:
     """Append every arriving row to bronze, once. A batch tried again finds its own commit.
 
-    ``archive`` moves the files of a finished batch to a folder of their batch. ``max_files`` bounds a batch,
-    so a backlog is worked off in batches of a known size.
+    ``archive`` has Spark move the files of a finished batch away when a later batch is planned. ``max_files`` bounds what a batch takes
+    of each format, so a backlog is worked off in batches of a known size.
     """
-    table = VersionedTable(spark, layout.bronze)
 
     def each(batch: DataFrame, batch_id: str) -> None:
-        table.append(bronze_rows(batch, spec), batch_id=batch_id)
+        VersionedTable(batch.sparkSession, layout.bronze).append(bronze_rows(batch, spec), batch_id=batch_id)
 
     return _take(spark, spec, layout, each, name=name, every=every, archive=archive, max_files=max_files)
 
@@ -200,7 +150,7 @@ def medallion_arrivals(
     """
 
     def each(batch: DataFrame, batch_id: str) -> None:
-        result = run_medallion(spark, spec, layout, raw=batch, silver_mode=silver_mode, batch_id=batch_id)
+        result = run_medallion(batch.sparkSession, spec, layout, raw=batch, silver_mode=silver_mode, batch_id=batch_id)
         if on_result:
             on_result(result)
 

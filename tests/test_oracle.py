@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -32,3 +35,11 @@ def test_query(spark, sf_dir, duck, name):
 def test_entry(spark):
     row = entry(spark).first()
     assert (row.status, row.silver_rows) == ("succeeded", 887)
+
+
+def test_entry_without_what_the_text_operators_need():
+    """The table queries load where the tokenizers, or the text operators, are not there."""
+    code = "import sys\nsys.modules[{!r}] = None\nimport __spark_entry__ as e\nprint(len(e.queries()), sorted(e.queries()) == sorted(e.QUERIES))"
+    for absent in ("tokenizers", "oreworks.llm", "corpus_pipeline"):
+        done = subprocess.run([sys.executable, "-c", code.format(absent)], capture_output=True, text=True, check=True)
+        assert done.stdout.split() == [str(len(QUERIES)), "True"]
