@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +27,46 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _ASCII_UPPER, _ASCII_UPPER.lower())
 
 
+# Spark's setting to remove the shuffle files of a query when it has ended.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, cut from their lineage, safe from lost executors."""
-    path = work_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows as a table in the shared folder: computed once, cut from their lineage, safe from lost executors.
+
+    The shuffle files behind it go when it is written, not when the driver happens to collect its garbage.
+    """
+    spark, path = df.sparkSession, work_dir(df.sparkSession, purpose)
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        else:
+            spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+# What operators' tasks remember in this Python worker, with a way to forget it.
+_remembered: dict[str, Callable[[], object]] = {}
+
+
+def enter_worker(operator: str, forget: Callable[[], object] | None = None) -> None:
+    """To be called as a task begins: what other operators remember in a reused worker goes, and freed memory goes back to the system.
+
+    ``forget`` drops what this operator remembers from task to task.
+    """
+    for other in [k for k in _remembered if k != operator]:
+        _remembered.pop(other)()
+    if forget:
+        _remembered[operator] = forget
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def crc_remainder(doc_id: Column, mod: int) -> Column:

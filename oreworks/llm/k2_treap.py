@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from oreworks.llm.byte_tokens import text_slices
-from oreworks.llm.common import with_rank, written
+from oreworks.llm.common import enter_worker, with_rank, written
 
 # Items searched in one pass over the documents; their terms and best documents are held by every task.
 ITEMS_AT_ONCE = 2000
@@ -205,6 +205,7 @@ def _searched(docs: DataFrame, items: list[tuple[int, Counter]], k: int) -> Data
     wanted = pa.array(terms, pa.binary())
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter_worker("k2_treap")
         best = Best(len(asked), k)
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_COLUMNS):

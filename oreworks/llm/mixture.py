@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from oreworks.llm.byte_tokens import byte_encoder, text_slices
-from oreworks.llm.common import running_total, written
+from oreworks.llm.common import enter_worker, running_total, written
 
 SEQUENCE = 1024
 # A source has a queue of its own if its share of a sequence is so many tokens at least; the others share one queue, document by
@@ -179,6 +179,7 @@ def encoded_rows(docs: DataFrame, tokenizer_file: str, end_id: int) -> DataFrame
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enter_worker("mixture", byte_encoder.cache_clear)
         encoder, part = byte_encoder(tokenizer_file), TaskContext.get().partitionId()
         before: dict[str, int] = defaultdict(int)
         for batch in batches:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from oreworks.llm.common import with_rank, written
+from oreworks.llm.common import enter_worker, with_rank, written
 
 SEQUENCE = 4096
 # A plan has a few rows per length; one within this bound is broadcast (32 bytes a row), a larger one is joined by shuffle.
@@ -104,6 +104,7 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int = 1, length:
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        enter_worker("packing", encoder_of.cache_clear)
         encoder = encoder_of(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:

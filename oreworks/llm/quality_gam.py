@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.common import crc_remainder, labelled_sample
+from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample
 
 FOLDS, HELD_OUT = 5, 0
 REJECT_BELOW = 0.3
@@ -211,6 +211,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 
 def _features_udf():
     def measured(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enter_worker("quality")
         for batch in texts:
             yield pd.Series([text_features(t) for t in batch], dtype=object)
 
@@ -228,6 +229,7 @@ def train(docs: DataFrame, labels: DataFrame) -> AdditiveModel:
 
 def _score_udf(model: AdditiveModel):
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enter_worker("quality")
         for batch in texts:
             x = np.stack([text_features(t) for t in batch]) if len(batch) else np.empty((0, len(FEATURES)))
             yield pd.Series(model.scores(x))

@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from oreworks.llm.common import enter_worker
+
 # Fixed value: the pattern that splits text before byte-level merges.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Bounds of a worker's memory of counted pieces; what is forgotten is counted anew.
@@ -122,6 +124,7 @@ def token_counts(docs: DataFrame, tokenizer_file: str, limit: int) -> DataFrame:
     """
 
     def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enter_worker("token_counts", counter_of.cache_clear)
         counter = counter_of(tokenizer_file)
         for batch in texts:
             yield pd.Series([counter.count(t) for t in batch], dtype="int64")

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.common import crc_remainder, labelled_sample
+from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample
 
 FOLDS, HELD_OUT = 4, 2
 REJECT_FROM = 0.3
@@ -152,8 +152,12 @@ class Network:
         if new:
             x = self.inputs_of(new)
             both = [x @ self.p[f"W{d}"] + self.p[f"c{d}"] for d in "fb"]
-            start = len(self._inputs)
-            self._inputs = np.concatenate([self._inputs, np.concatenate(both, axis=1)])
+            start = len(self._known) + 1
+            if start + len(new) > len(self._inputs):
+                # Grown by doubling, so that the rows are seldom copied.
+                more = np.zeros((max(start + len(new), 2 * len(self._inputs)) - len(self._inputs), 6 * HIDDEN), np.float32)
+                self._inputs = np.concatenate([self._inputs, more])
+            self._inputs[start : start + len(new)] = np.concatenate(both, axis=1)
             self._known.update(zip(new, range(start, start + len(new)), strict=True))
         return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
 
@@ -335,6 +339,7 @@ def _score_udf(net: Network):
     shared = net.p, net.words
 
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        enter_worker("toxicity")
         own = Network(shared[1], shared[0])
         for batch in texts:
             yield pd.Series(own.scores(list(batch)), dtype="float64")

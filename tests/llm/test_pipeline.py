@@ -4,7 +4,7 @@ import public_tokenizers
 import pytest
 
 import corpus_pipeline
-from oreworks.llm import decontaminate, near_dedup, packing, quality_gam, toxicity
+from oreworks.llm import decontaminate, packing, quality_gam, set_join, toxicity
 
 from .conftest import documents
 
@@ -26,7 +26,7 @@ def test_stages_by_their_operators(spark, tmp_path):
     rejects = {
         "quality": lambda d: [r.doc_id for r in quality_gam.quality_scores(d, labels).where("predicted = 0").collect()],
         "toxicity": lambda d: [r.doc_id for r in toxicity.toxicity_scores(d, labels).where("predicted = 1").collect()],
-        "near_dedup": lambda d: [r.doc_id for r in near_dedup.near_duplicate_groups(d).where("doc_id <> component_id").collect()],
+        "near_dedup": lambda d: [r.doc_id for r in set_join.similar_groups(d).where("doc_id <> component_id").collect()],
         "decontaminate": lambda d: [r.doc_id for r in decontaminate.contaminated(d, bench).collect()],
     }
     assert [n for n, _ in corpus_pipeline.STAGES] == [*rejects, "pack"]
