@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Callable, Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from oreworks.session import work_dir
+from oreworks.sources.listing import delete_path
 
 _ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -46,7 +48,18 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
             spark.conf.unset(_DROP_SHUFFLES)
         else:
             spark.conf.set(_DROP_SHUFFLES, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _folders[table] = path
+    return table
+
+
+_folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def released(*tables: DataFrame) -> None:
+    """Delete written tables that no later query reads; others go when the driver ends."""
+    for table in tables:
+        delete_path(table.sparkSession, _folders.pop(table))
 
 
 # What operators' tasks remember in this Python worker, with a way to forget it.
