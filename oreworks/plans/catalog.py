@@ -409,9 +409,10 @@ def file_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_profile_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Profiles of CSV files of a thousand events each, every seventh of which is written twice."""
+    """Profiles of CSV files of a thousand events each, every seventh of which is written twice and every fifth has a line break in its name."""
     folder = work_dir(spark, "file_profile_csv")
-    rows = raw_rows(spark, sf_dir)
+    broken = F.when(F.col("event_id") % 5 == 0, F.concat("name", F.lit("\n,b"))).otherwise(F.col("name"))
+    rows = raw_rows(spark, sf_dir).withColumn("name", broken)
     twice = rows.unionByName(rows.where("event_id % 7 = 0")).withColumn("part", F.expr("event_id div 1000"))
     twice.select(*PEOPLE_COLUMNS, "part").repartition("part").write.partitionBy("part").option("header", True).csv(folder)
     return profile.profile_csv_files(spark, folder).select(

@@ -204,7 +204,8 @@ _BODIES = {
         group by source_file""",
     "file_profile_csv": """
         , line_v as (
-          select event_id // 1000 as part, coalesce(id::varchar, '') || ',' || name || ',' || coalesce(age::varchar, '') as line,
+          select event_id // 1000 as part, coalesce(id::varchar, '') || ',' || case when event_id % 5 = 0 then '"' || name || chr(10) || ',b"' else name end
+                   || ',' || coalesce(age::varchar, '') as line,
                  (id is null)::int + (age is null)::int as blanks, unnest(range(case when event_id % 7 = 0 then 2 else 1 end)) as copy
           from raw_v
         ), file_v as (

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import csv
 import os
+import random
 import time
 from datetime import datetime, timezone
 
@@ -104,6 +106,45 @@ def test_file_profile(spark, tmp_path):
     }
 
 
+def by_csv_reader(path):
+    """(rows, repeated rows, empty cells) of a file, read by Python's csv module."""
+    with open(path, encoding="utf-8") as file:
+        rows = [tuple(r) for r in csv.reader(file)][1:]
+    return len(rows), len(rows) - len(set(rows)), sum(not c.strip() for r in rows for c in r)
+
+
+@pytest.mark.parametrize("split_bytes", [120, 1000, 1 << 27])
+def test_records_of_any_shape_against_a_csv_reader(spark, tmp_path, split_bytes):
+    """Line breaks in cells, blank lines, stray and doubled quotes, and files split anywhere, in quotes too."""
+    rnd, paths = random.Random(split_bytes), []
+    pieces = ["a", " ", "", "x,y", '""', '"', "\n", "\n\n", 'b"c', '"q\nr"', '"s, ""t"""', '"u"v"w', "\r\n", ",", ",,"]
+    for n in range(12):
+        body = "h,i\n" + "".join(rnd.choice(pieces) + rnd.choice([",", "\n", "\n"]) for _ in range(rnd.randrange(60)))
+        path = tmp_path / f"f{n}.csv"
+        path.write_text(body + '"\n' * (n % 2) + "z,z\nz,z\n\n\n", newline="")
+        # An open quote at the end of a file also takes in the last line feed there, which no line holds.
+        with open(path, encoding="utf-8") as file:
+            if not any(c.endswith("\n") for c in [*csv.reader(file)][-1]):
+                paths.append(path)
+            else:
+                path.write_text("h,i\n1,2\n")
+    (tmp_path / "header.csv").write_text('"a\nb",c\n')
+    (tmp_path / "wide.csv").write_text("h\n" + '"a""b",' * 1500 + "\n" + '"' + "x" * 9000 + '"\n')
+    paths += [tmp_path / "header.csv", tmp_path / "wide.csv"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = profile.profile_csv_files(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    got = {os.path.basename(r.file_path): (r.n_rows, r.duplicate_rows, r.empty_cells) for r in rows}
+    assert len(paths) > 4
+    for path in paths:
+        assert got[path.name] == by_csv_reader(path), path.read_text()[:500]
+
+
 def test_closed_months_are_merged(spark, tmp_path):
     path, schema = str(tmp_path / "log"), StructType([StructField("n", LongType())])
     times = [datetime(2024, m, d, tzinfo=timezone.utc) for m, d in ((1, 3), (1, 9), (2, 1), (3, 5))]
