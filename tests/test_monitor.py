@@ -12,6 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType, TimestampType
 
 from oreworks.functions import text
 from oreworks.operators import monitor, profile
+from oreworks.sources import rowlog
 from oreworks.sources.rowlog import append_rows, merge_closed_months, one_row, read_newest_month, read_rows
 
 
@@ -156,11 +157,36 @@ def test_closed_months_are_merged(spark, tmp_path):
     assert merge_closed_months(spark, path, schema, now=times[-1]) == ["2024-01", "2024-02"]
     assert everything() == [0, 1, 2, 3] and sorted(os.listdir(tmp_path / "log" / "records")) == ["month=2024-03"]
     # A merge that died after its table was written is finished by the next one, and nothing counts twice.
-    spark.range(9).toDF("n").write.parquet(f"{path}/records/month=2024-01/record_id=left")
+    spark.range(9).toDF("n").write.parquet(f"{path}/records/month=2024-01/record_id=r0")
     assert everything() == [0, 1, 2, 3]
     assert merge_closed_months(spark, path, schema, now=times[-1]) == []
     assert everything() == [0, 1, 2, 3] and not os.path.exists(f"{path}/records/month=2024-01")
-    # A record again under its id replaces itself; one of a closed month goes to the present one.
+    # A record again under its id replaces itself, or stays as it is where its month is closed; a new one of a closed month goes to the present one.
     append_rows(spark.range(7, 8).toDF("n"), path, "r3", times[-1])
     append_rows(spark.range(5, 6).toDF("n"), path, "r0", times[0])
+    assert everything() == [0, 1, 2, 7]
+    append_rows(spark.range(5, 6).toDF("n"), path, "r9", times[0])
     assert everything() == [0, 1, 2, 5, 7]
+
+
+def test_a_record_written_while_its_month_is_merged(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "log"), StructType([StructField("n", LongType())])
+    at, now = datetime(2024, 1, 3, tzinfo=timezone.utc), datetime(2024, 3, 1, tzinfo=timezone.utc)
+    append_rows(spark.range(2).toDF("n"), path, "early", at)
+    # One that is not written to the end is left to its writer.
+    os.makedirs(f"{path}/records/month=2024-01/record_id=begun/_temporary")
+    read = rowlog._read
+
+    def read_and_write(*args, **more):
+        rows = read(*args, **more)
+        if not os.path.exists(f"{path}/records/month=2024-01/record_id=late"):
+            append_rows(spark.range(5, 6).toDF("n"), path, "late", at)
+        return rows
+
+    monkeypatch.setattr(rowlog, "_read", read_and_write)
+    assert merge_closed_months(spark, path, schema, now) == ["2024-01"]
+    monkeypatch.undo()
+    everything = lambda: sorted(r.n for r in read_rows(spark, path, schema).collect())
+    assert everything() == [0, 1, 5]
+    append_rows(spark.range(6, 7).toDF("n"), path, "late", at)
+    assert merge_closed_months(spark, path, schema, now) == [] and everything() == [0, 1, 6]
