@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import uuid
 from collections.abc import Callable, Iterator
 from weakref import WeakKeyDictionary
 
@@ -33,32 +34,44 @@ def ascii_lower(text: Column) -> Column:
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, bucket_by: str | None = None) -> DataFrame:
     """The rows as a table in the shared folder: computed once, cut from their lineage, safe from lost executors.
 
-    The shuffle files behind it go when it is written, not when the driver happens to collect its garbage.
+    The shuffle files behind it go when it is written, not when the driver happens to collect its garbage. A table
+    bucketed by a column, in as many buckets as there are shuffle partitions, is joined on it without being shuffled.
     """
     spark, path = df.sparkSession, work_dir(df.sparkSession, purpose)
     before = spark.conf.get(_DROP_SHUFFLES, None)
     spark.conf.set(_DROP_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        if bucket_by is None:
+            df.write.parquet(path)
+        else:
+            name = f"{purpose}_{uuid.uuid4().hex}"
+            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            df.write.format("parquet").option("path", path).bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(name)
     finally:
         if before is None:
             spark.conf.unset(_DROP_SHUFFLES)
         else:
             spark.conf.set(_DROP_SHUFFLES, before)
-    table = spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path) if bucket_by is None else spark.table(name)
     _folders[table] = path
+    if bucket_by is not None:
+        _names[table] = name
     return table
 
 
 _folders: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+# Names of those that are bucketed.
+_names: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def released(*tables: DataFrame) -> None:
     """Delete written tables that no later query reads; others go when the driver ends."""
     for table in tables:
+        if table in _names:
+            table.sparkSession.sql(f"drop table if exists {_names.pop(table)}")
         delete_path(table.sparkSession, _folders.pop(table))
 
 
