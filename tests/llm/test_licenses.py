@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import duckdb
 import pytest
 
 from oreworks.llm import licenses
@@ -15,6 +16,19 @@ def words(text):
     return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", low) if w]
 
 
+def kept(block):
+    """By hand: (label, share) of a block's templates, but for those whose words are within a better one's."""
+    have, pairs = set(block), set(zip(block, block[1:]))
+    held = []
+    for label, template in licenses.TEMPLATES:
+        t = words(template)
+        own, near = set(t), set(zip(t, t[1:]))
+        share, order = len(own & have) / len(own), len(near & pairs) / len(near)
+        if share == order == 1 or (len(own) > licenses.SHORT and share >= 0.8 - 1e-9 and order >= 0.5 - 1e-9):
+            held.append((share, own & have, label))
+    return [(lab, c) for c, own, lab in held if not any(own <= o and (d, len(o)) > (c, len(own)) for d, o, _ in held)]
+
+
 def scan(text):
     """By hand: phrases at every place, every template in every block."""
     w = words(text)
@@ -27,16 +41,9 @@ def scan(text):
             base.add(label)
     more, best = set(), 0.0
     for start in range(0, max(len(w) - 33, 0) + 1, 32):
-        block = set(w[start : start + 64])
-        held = []
-        for label, template in licenses.TEMPLATES:
-            t = set(words(template))
-            share = len(t & block) / len(t)
-            if share >= 0.8 - 1e-9:
-                held.append((share, label))
-        top = max(held, default=(0, ""))[0]
-        more |= {label for share, label in held if share == top}
-        best = max(best, top)
+        found = kept(w[start : start + 64])
+        more |= {label for label, _ in found}
+        best = max([best, *(share for _, share in found)])
     first, last = (min(places), max(places)) if places else (None, None)
     return len(w), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(base | more)), 1.0 if places else best
 
@@ -79,7 +86,7 @@ def test_filters_lose_nothing(spark, threshold):
     templates = [("a", "one two three four five six"), ("b", "six five seven"), ("c", "nine")]
     texts = ["one two three", "four five six one", "six seven", "five seven six nine", "one one one six", "nine", "none"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    got = {r.doc_id: r.score for r in licenses.license_scan(docs, templates, threshold).collect()}
+    got = {r.doc_id: r.score for r in licenses.license_scan(docs, templates, threshold, 0, 0.0).collect()}
     for i, text in enumerate(texts):
         shares = [len(set(t.split()) & set(text.split())) / len(t.split()) for _, t in templates]
         assert got[i] == pytest.approx(max([s for s in shares if s >= threshold], default=0.0))
@@ -117,11 +124,39 @@ def test_every_match_but_contained_ones_against_brute_force(spark, sf_dir):
         w = words(r.text)
         want = {label for p, label in licenses.PHRASES.items() if f" {p} " in f" {' '.join(w)} "}
         for start in range(0, max(len(w) - 33, 0) + 1, 32):
-            held = []
-            for label, template in licenses.TEMPLATES:
-                t = set(words(template))
-                shared = t & set(w[start : start + 64])
-                if len(shared) >= 0.8 * len(t) - 1e-9:
-                    held.append((len(shared) / len(t), shared, label))
-            want |= {label for c, shared, label in held if not any(d > c and shared <= other for d, other, _ in held)}
+            want |= {label for label, _ in kept(w[start : start + 64])}
         assert got[r.doc_id] == want
+
+
+SHUFFLED = " ".join(sorted(MIT.split()))
+
+WORDING = {
+    "the license was released under pressure": "",
+    "no license; it was released for the MIT press": "",
+    "no license, it was released under the MIT press": "",
+    "Released under the BSD License": "bsd",
+    "Released under the Apache License": "apache",
+    "Licensed under CC BY 4.0": "cc-by",
+    "Licensed under CC BY-NC-SA 4.0": "cc-by-nc-sa",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License": "cc-by-sa",
+    SHUFFLED: "",
+    MIT.replace("free of charge", "at no cost"): "mit",
+    LGPL: "gpl,lgpl",
+}
+
+
+def test_order_and_deciding_words(spark):
+    """The words of a notice in another order, or without the one that decides, are no notice."""
+    docs = spark.createDataFrame(list(enumerate(WORDING)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.license_scan(docs).collect()}
+    assert got == dict(enumerate(WORDING.values()))
+
+
+def test_planted_notices_against_sql(spark, tmp_path):
+    """Fixture and wording, far from each other and within one block, by the query's SQL."""
+    texts = [*TEXTS, *WORDING, f"{MIT} or {APACHE}", f"{APACHE.replace('compliance', 'accordance')} {MIT}", "x " * 200 + LGPL + " y" * 40]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as from '{tmp_path}/documents.parquet/*.parquet'")
+    assert spark_rows(licenses.license_scan(docs)) == duck_rows(con, licenses.oracle_sql())
