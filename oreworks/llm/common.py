@@ -6,6 +6,7 @@ import ctypes
 import gc
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from weakref import WeakKeyDictionary
 
 import numpy as np
@@ -34,27 +35,42 @@ def ascii_lower(text: Column) -> Column:
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, purpose: str, bucket_by: str | None = None) -> DataFrame:
+# Spark's setting for the bytes of a batch that goes to a Python worker.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def _set(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Inside, the session has these settings; after, it is as it was."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+def written(df: DataFrame, purpose: str, bucket_by: str | None = None, batch_bytes: int | None = None) -> DataFrame:
     """The rows as a table in the shared folder: computed once, cut from their lineage, safe from lost executors.
 
     The shuffle files behind it go when it is written, not when the driver happens to collect its garbage. A table
     bucketed by a column, in as many buckets as there are shuffle partitions, is joined on it without being shuffled.
+    ``batch_bytes`` bounds the batches that go to Python workers, for texts of any length.
     """
     spark, path = df.sparkSession, work_dir(df.sparkSession, purpose)
-    before = spark.conf.get(_DROP_SHUFFLES, None)
-    spark.conf.set(_DROP_SHUFFLES, "true")
-    try:
+    settings = {_DROP_SHUFFLES: "true"} | ({_BATCH_BYTES: str(batch_bytes)} if batch_bytes else {})
+    with _set(spark, settings):
         if bucket_by is None:
             df.write.parquet(path)
         else:
             name = f"{purpose}_{uuid.uuid4().hex}"
             buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
             df.write.format("parquet").option("path", path).bucketBy(buckets, bucket_by).sortBy(bucket_by).saveAsTable(name)
-    finally:
-        if before is None:
-            spark.conf.unset(_DROP_SHUFFLES)
-        else:
-            spark.conf.set(_DROP_SHUFFLES, before)
     table = spark.read.schema(df.schema).parquet(path) if bucket_by is None else spark.table(name)
     _folders[table] = path
     if bucket_by is not None:
@@ -88,6 +104,11 @@ def enter_worker(operator: str, forget: Callable[[], object] | None = None) -> N
         _remembered.pop(other)()
     if forget:
         _remembered[operator] = forget
+    leave_worker()
+
+
+def leave_worker() -> None:
+    """To be called as a task ends, after it has let go of its data: a worker that waits for its next task holds no freed memory."""
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample
+from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample, leave_worker
 
 FOLDS, HELD_OUT = 5, 0
 REJECT_BELOW = 0.3
@@ -233,6 +233,8 @@ def _score_udf(model: AdditiveModel):
         for batch in texts:
             x = np.stack([text_features(t) for t in batch]) if len(batch) else np.empty((0, len(FEATURES)))
             yield pd.Series(model.scores(x))
+        batch = x = None
+        leave_worker()
 
     return F.pandas_udf(scored, "double")
 

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample
+from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample, leave_worker
 
 FOLDS, HELD_OUT = 4, 2
 REJECT_FROM = 0.3
@@ -343,6 +343,8 @@ def _score_udf(net: Network):
         own = Network(shared[1], shared[0])
         for batch in texts:
             yield pd.Series(own.scores(list(batch)), dtype="float64")
+        batch = own = None
+        leave_worker()
 
     return F.pandas_udf(scored, "double")
 
