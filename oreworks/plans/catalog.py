@@ -23,7 +23,7 @@ from oreworks.operators import clean, datagen, export, marts, monitor, profile,
 from oreworks.plans import medallion
 from oreworks.session import work_dir
 from oreworks.sources import files
-from oreworks.sources.listing import folder_names, place_file
+from oreworks.sources.listing import files_in, place_file
 from oreworks.sources.rowlog import append_rows, merge_closed_months, read_newest_month
 from oreworks.sources.versioned import VersionedTable
 from oreworks.spec import PEOPLE, Layout
@@ -461,7 +461,8 @@ def _arrive(spark: SparkSession, rows: DataFrame, layout: Layout) -> None:
     _even(rows).select(*PEOPLE_COLUMNS).write.option("header", True).csv(f"{stage}/csv")
     _odd(rows).select(*PEOPLE_COLUMNS).write.json(f"{stage}/json")
     for kind in ("csv", "json"):
-        parts = [n for n in folder_names(spark, f"{stage}/{kind}") if n.startswith("part-")]
+        # A task without rows may leave an empty file, which would stay in the input folder and take the name from the next arrival.
+        parts = [f.name for f in files_in(spark, f"{stage}/{kind}") if f.length and f.name.startswith("part-")]
         for i, name in enumerate(parts):
             place_file(spark, f"{stage}/{kind}/{name}", f"{layout.input}/raw_data_{i}.{kind}", OLD_FILE_MS)
 

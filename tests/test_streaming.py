@@ -5,6 +5,7 @@ import os
 import pytest
 
 from oreworks.operators.monitor import read_incidents
+from oreworks.plans import catalog
 from oreworks.plans.medallion import layer_tables
 from oreworks.sources import versioned
 from oreworks.spec import PEOPLE, Layout
@@ -164,3 +165,15 @@ def test_new_checkpoint_is_a_new_query(spark, layout, drop):
     batches = layer_tables(spark, PEOPLE, layout)["bronze"].commit_at().batches
     assert sorted(batches.values()) == [0, 1]
     assert all(b.endswith("_0") and "None" not in b for b in batches)
+
+
+@pytest.mark.parametrize("query", [catalog.stream_ingest, catalog.stream_medallion], ids=lambda q: q.__name__)
+def test_tasks_without_rows_leave_no_arrivals(spark, tmp_path, query):
+    """The first task of either half finds no row for JSON and writes an empty file; the other tasks' files arrive under used names."""
+    even, odd = list(range(2, 22, 2)), [1, 3, 5, 7, 9]
+    for part in (even, odd):
+        rows = spark.createDataFrame([(i, "signup", 30.0) for i in part], "event_id long, event_type string, value double")
+        rows = rows.selectExpr("*", "timestamp'2024-01-01 00:00:00' as ts").coalesce(1)
+        rows.write.mode("append").parquet(str(tmp_path / "events.parquet"))
+    assert catalog.raw_rows(spark, str(tmp_path)).rdd.getNumPartitions() == 2
+    assert ids(query(spark, str(tmp_path))) == sorted(even + odd)
