@@ -10,25 +10,27 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, insort
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import pairwise
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from oreworks.llm.common import enter_worker, with_rank, written
+from oreworks.llm.common import BATCH_BYTES, enter_worker, leave_worker, local_table, with_rank, written
 
 SEQUENCE = 4096
 # A plan has a few rows per length; one within this bound is broadcast (32 bytes a row), a larger one is joined by shuffle.
 BROADCAST_PLAN_ROWS = 200_000
 # Bounds of a worker's memory of encoded words; what is forgotten is encoded anew.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 300_000
 REMEMBERED_CHARS = 48
+# Texts taken out of a batch at once.
+TEXTS = 100
 
 
 # -- token ids ---------------------------------------------------------------------
@@ -37,7 +39,8 @@ REMEMBERED_CHARS = 48
 class WordEncoder:
     """Ids of whole texts for a vocabulary of lower-case words that drops white space, as little-endian bytes.
 
-    No token of such a vocabulary crosses a piece of the splitting pattern, so each distinct piece is encoded once and remembered.
+    No token of such a vocabulary crosses a piece of the splitting pattern, so each distinct piece is encoded once and remembered, in two
+    generations of half the bound: when the younger is full the older goes, and what was used since lies in the younger.
     Texts of other than plain characters are split at white space only, and those with separators that
     are no white space to the library are encoded whole.
     """
@@ -56,6 +59,7 @@ class WordEncoder:
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -80,11 +84,13 @@ class WordEncoder:
             return self._ids([text])[0].tobytes()
         parts = self.PIECES.findall(text.lower()) if plain else text.split()
         new = set(parts).difference(self.known)
-        if new and len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known.clear()
+        if new and len(self.known) + len(new) > REMEMBERED_WORDS // 2:
+            self.known, self.older = {}, self.known
             new = set(parts)
         if new:
-            self._learn(list(new), plain)
+            self.known.update((part, self.older[part]) for part in new & self.older.keys())
+            if unknown := list(new.difference(self.known)):
+                self._learn(unknown, plain)
         out = b"".join(map(self.known.__getitem__, parts))
         for part in new:
             if len(part) > REMEMBERED_CHARS:
@@ -97,29 +103,45 @@ def encoder_of(tokenizer_file: str) -> WordEncoder:
     return WordEncoder(tokenizer_file)
 
 
+_PIECE = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary())])
+
+
+def cut_batches(batches: Iterator[pa.RecordBatch], encode: Callable[[str], bytes], end: bytes, length: int) -> Iterator[pa.RecordBatch]:
+    """Batches of (doc_id, text) -> batches of pieces, each begun anew after TEXTS texts or BATCH_BYTES of ids."""
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _PIECE, strict=True)], schema=_PIECE)
+
+    for batch in batches:
+        for first in range(0, batch.num_rows, TEXTS):
+            some, rows, n_bytes = batch.slice(first, TEXTS), [], 0
+            for doc_id, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                ids = (encode(text) if text else b"") + end
+                for piece, at in enumerate(range(0, len(ids), 4 * length)):
+                    part = ids[at : at + 4 * length]
+                    rows.append((doc_id, piece, at // 4, len(part) // 4, part))
+                n_bytes += len(ids)
+                if n_bytes >= BATCH_BYTES:
+                    yield batch_of(rows)
+                    rows, n_bytes = [], 0
+            if rows:
+                yield batch_of(rows)
+
+
 def token_pieces(docs: DataFrame, tokenizer_file: str, end_id: int = 1, length: int = SEQUENCE) -> DataFrame:
     """(doc_id, text, ..) -> doc_id, piece, start, length, ids: every document's ids and ``end_id``, cut where longer.
 
     ``ids`` are little-endian unsigned 32-bit numbers. NULL and empty texts have the end alone. Repeated rows stay.
     """
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enter_worker("packing", encoder_of.cache_clear)
-        encoder = encoder_of(tokenizer_file)
         end = np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = (encoder.encode(text) if text else b"") + end
-                for piece, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at : at + 4 * length]
-                    rows.append((doc_id, piece, at // 4, len(part) // 4, part))
-            frame = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids"])
-            frame["doc_id"] = frame["doc_id"].astype("Int64")
-            yield frame
+        yield from cut_batches(batches, encoder_of(tokenizer_file).encode, end, length)
+        leave_worker()
 
     schema = "doc_id long, piece int, start long, length long, ids binary"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(cut, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, schema)
 
 
 # -- plan --------------------------------------------------------------------------
@@ -205,7 +227,8 @@ def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
         (s.length, before[s.length] + s.first_rank, before[s.length] + s.first_rank + s.n, s.sequence, s.offset)
         for s in best_fit_plan(histogram, size)
     ]
-    slots = spark.createDataFrame(plan, "length long, _from long, _to long, _sequence long, offset long")
+    names = ["length", "_from", "_to", "_sequence", "offset"]
+    slots = local_table(spark, pa.schema([(n, pa.int64()) for n in names]), plan)
     if len(plan) <= BROADCAST_PLAN_ROWS:
         slots = F.broadcast(slots)
     return (
@@ -221,4 +244,4 @@ def packed_documents(docs: DataFrame, tokenizer_file: str) -> DataFrame:
     pieces = token_pieces(docs, tokenizer_file)
     digest = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
     # Written first: ranking samples its input, which would encode every text twice.
-    return pack(written(digest, "pieces"))
+    return pack(written(digest, "pieces", batch_bytes=BATCH_BYTES))

@@ -6,6 +6,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -60,6 +61,34 @@ def test_encoder_forgets_and_learns_again(library, monkeypatch):
         assert encoder.encode(text) == np.array(ids_of(library, text)[:-1], dtype="<u4").tobytes()
 
 
+def test_encoder_keeps_the_words_in_use(monkeypatch):
+    """Of two generations of words the older goes, and a word that every text holds is encoded once."""
+    monkeypatch.setattr(packing, "REMEMBERED_WORDS", 40)
+    encoder, learned = packing.WordEncoder(FILE), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda parts, plain: (learned.extend(parts), learn(parts, plain)))
+    for k in range(60):
+        encoder.encode("always " + " ".join("w" + chr(97 + k % 26) * (k // 26 + 1) + chr(97 + i) for i in range(5)))
+        assert len(encoder.known) + len(encoder.older) <= 40
+    assert learned.count("always") == 1 and len(learned) == 301
+
+
+def test_batches_of_pieces_are_small(monkeypatch):
+    """However many texts come in one batch; a batch of ids ends with the text that reaches the bound."""
+    monkeypatch.setattr(packing, "BATCH_BYTES", 1000)
+    monkeypatch.setattr(packing, "TEXTS", 20)
+    texts = [None if n % 11 == 0 else "x" * (n % 90) for n in range(200)] + ["y" * 5000]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [*range(200), None], "text": texts})
+    out = list(packing.cut_batches(iter([batch, batch.slice(0, 0)]), lambda t: t.encode() * 4, b"end.", 64))
+    sizes = [sum(map(len, b.column("ids").to_pylist())) for b in out]
+    assert max(sizes[:-1]) < 1000 + 4 * 90 and len(out) > 30 and all(b.num_rows for b in out)
+    whole = {}
+    for r in (r for b in out for r in b.to_pylist()):
+        assert r["start"] == r["piece"] * 64 and len(r["ids"]) == 4 * r["length"] <= 256
+        whole[r["doc_id"]] = whole.get(r["doc_id"], b"") + r["ids"]
+    assert whole == {n: (t or "").encode() * 4 + b"end." for n, t in zip([*range(200), None], texts, strict=True)}
+
+
 def best_fit(lengths, size):
     """Best-fit-decreasing one document at a time: room left per sequence."""
     rooms = []
