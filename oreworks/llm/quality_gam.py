@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample, leave_worker
+from oreworks.llm.common import BATCH_BYTES, crc_remainder, enter_worker, labelled_sample, leave_worker, written
 
 FOLDS, HELD_OUT = 5, 0
 REJECT_BELOW = 0.3
@@ -224,7 +224,10 @@ def train(docs: DataFrame, labels: DataFrame) -> AdditiveModel:
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most SAMPLE_ROWS ids
     rows = joined.select("doc_id", "y", _features_udf()("text").alias("x")).orderBy("doc_id").collect()
     x = np.array([r.x for r in rows], dtype=np.float32).reshape(len(rows), len(FEATURES))
-    return fit(x, np.array([r.y for r in rows], dtype=float))
+    model = fit(x, np.array([r.y for r in rows], dtype=float))
+    rows = x = None
+    leave_worker()  # the driver waits for the next stages without what training has freed
+    return model
 
 
 def _score_udf(model: AdditiveModel):
@@ -253,6 +256,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs whose text scores at least 0.3, all columns."""
+    """The rows of docs whose text scores at least 0.3, all columns. Written, as only then are the batches of texts bounded in bytes."""
     score = _score_udf(train(docs, labels))
-    return docs.where(score("text") >= REJECT_BELOW)
+    return written(docs.where(score("text") >= REJECT_BELOW), "good", batch_bytes=BATCH_BYTES)

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from oreworks.llm.common import crc_remainder, enter_worker, labelled_sample, leave_worker
+from oreworks.llm.common import BATCH_BYTES, crc_remainder, enter_worker, labelled_sample, leave_worker, written
 
 FOLDS, HELD_OUT = 4, 2
 REJECT_FROM = 0.3
@@ -44,6 +44,8 @@ FIRST_SHARE = 0.5
 # Windows scored at a time, and the bound of a worker's memory of word inputs.
 SCORE_WINDOWS = 2048
 REMEMBERED_WORDS = 200_000
+# Words whose inputs are made at once: each has some twenty pieces.
+NEW_WORDS = 4096
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -150,14 +152,15 @@ class Network:
             self._known, self._inputs = {}, np.zeros((1, 6 * HIDDEN), np.float32)
             new = list(set(words))
         if new:
-            x = self.inputs_of(new)
-            both = [x @ self.p[f"W{d}"] + self.p[f"c{d}"] for d in "fb"]
             start = len(self._known) + 1
             if start + len(new) > len(self._inputs):
                 # Grown by doubling, so that the rows are seldom copied.
                 more = np.zeros((max(start + len(new), 2 * len(self._inputs)) - len(self._inputs), 6 * HIDDEN), np.float32)
                 self._inputs = np.concatenate([self._inputs, more])
-            self._inputs[start : start + len(new)] = np.concatenate(both, axis=1)
+            for i in range(0, len(new), NEW_WORDS):
+                x = self.inputs_of(new[i : i + NEW_WORDS])
+                both = [x @ self.p[f"W{d}"] + self.p[f"c{d}"] for d in "fb"]
+                self._inputs[start + i : start + i + len(x)] = np.concatenate(both, axis=1)
             self._known.update(zip(new, range(start, start + len(new)), strict=True))
         return np.fromiter(map(self._known.__getitem__, words), np.int64, len(words))
 
@@ -332,7 +335,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
     joined = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most SAMPLE_ROWS ids
     run_of = F.pandas_udf(lambda texts: texts.map(lambda t: " ".join(words_of(t))), "string")
     rows = joined.select("doc_id", "y", run_of("text").alias("run")).orderBy("doc_id").collect()
-    return fit([[r.run] for r in rows], np.array([r.y for r in rows], dtype=np.float32))
+    net = fit([[r.run] for r in rows], np.array([r.y for r in rows], dtype=np.float32))
+    rows = None
+    leave_worker()  # the driver waits for the next stages without what training has freed
+    return net
 
 
 def _score_udf(net: Network):
@@ -363,6 +369,6 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs whose text scores below 0.3, all columns."""
+    """The rows of docs whose text scores below 0.3, all columns. Written, as only then are the batches of texts bounded in bytes."""
     score = _score_udf(train(docs, labels))
-    return docs.where(score("text") < REJECT_FROM)
+    return written(docs.where(score("text") < REJECT_FROM), "clean", batch_bytes=BATCH_BYTES)

@@ -115,6 +115,27 @@ def test_scoring_does_not_depend_on_batches_or_memory(monkeypatch):
     assert np.allclose(whole, one, atol=1e-5) and np.allclose(whole, again, atol=1e-5)
 
 
+def test_inputs_of_many_new_words_are_made_in_parts(monkeypatch):
+    monkeypatch.setattr(toxicity, "READINGS", 1000)
+    net = toxicity.fit([["good day to all"], ["you idiot person"]] * 20, np.array([0, 1] * 20, dtype=np.float32))
+    texts = [" ".join(f"{a}{b}x" for b in "abcdefgh") for a in "klmnopq"] + [None]
+    whole, sizes = toxicity.Network(net.words, net.p).scores(texts), []
+    monkeypatch.setattr(toxicity, "NEW_WORDS", 5)
+    inputs_of = toxicity.Network.inputs_of
+    monkeypatch.setattr(toxicity.Network, "inputs_of", lambda self, words: (sizes.append(len(words)), inputs_of(self, words))[1])
+    assert np.allclose(toxicity.Network(net.words, net.p).scores(texts), whole, atol=1e-5)
+    assert sum(sizes) == 56 and max(sizes) == 5
+
+
+@pytest.mark.parametrize(("operator", "keep"), [(quality_gam, "keep_good"), (toxicity, "keep_clean")])
+def test_kept_rows_come_of_batches_bounded_in_bytes(spark, labels, monkeypatch, operator, keep):
+    monkeypatch.setattr(toxicity, "READINGS", 1000)
+    seen, written = [], operator.written
+    monkeypatch.setattr(operator, "written", lambda df, purpose, **how: (seen.append(how), written(df, purpose, **how))[1])
+    kept = getattr(operator, keep)(documents(spark, SF).limit(20), labels)
+    assert seen == [{"batch_bytes": 4 << 20}] and kept.columns == documents(spark, SF).columns and 0 < kept.count() <= 20
+
+
 def test_additive_model_learns_an_interaction():
     rng = np.random.default_rng(1)
     x = rng.random((3000, 3)).astype(np.float32)
